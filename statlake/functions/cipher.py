@@ -95,10 +95,17 @@ def _large_word(digest: str, high: str, low: str) -> str:
     return f"({_small_word(digest, high)} * {low} + pmod(xxhash64(2, {digest}), {low}))"
 
 
+def _constants(values, sql_type: str) -> str:
+    """A constant array. Written as one text that Spark folds once, not as an expression for each
+    element, which would make plans large."""
+    return f"cast(split('{','.join(map(str, values))}', ',') as array<{sql_type}>)"
+
+
 def _apart(value: str) -> str:
     """The value unchanged, through a lambda. Spark leaves a projection with a lambda out of the
     generated loop around it, so the rounds of one column stay a method of their own, small enough
     for the JVM to compile; fused into one method with everything else they would be interpreted.
+    The value itself is interpreted, so it must be cheap.
     """
     return f"element_at(transform(array({value}), v -> v), 1)"
 
@@ -252,15 +259,14 @@ class Radix:
     def code(self, char: str) -> str:
         """Place of a character in the alphabet, by a table over ASCII."""
         table = [max(0, self.alphabet.find(chr(i))) for i in range(128)]
-        return f"get(array({', '.join(f'{t}L' for t in table)}), ascii({char}))"
+        return f"get({_constants(table, 'bigint')}, ascii({char}))"
 
     def char(self, code: str) -> str:
-        table = ", ".join(f"'{c}'" for c in self.alphabet)
-        return f"get(array({table}), cast({code} as int))"
+        return f"get({_constants(self.alphabet, 'string')}, cast({code} as int))"
 
     def power(self, exponent: str) -> str:
-        table = ", ".join(f"{self.size**i}L" for i in range(self.block + 1))
-        return f"get(array({table}), {exponent})"
+        table = [self.size**i for i in range(self.block + 1)]
+        return f"get({_constants(table, 'bigint')}, {exponent})"
 
     def number(self, text: str) -> str:
         """The number a block of at most ``block`` characters spells."""
@@ -406,19 +412,21 @@ def _staged_numeric(spec: Numeric, x: str, key: str, prefix: str, restore: bool)
     a, b, aux = f"{prefix}a", f"{prefix}b", f"{prefix}u"
     plan = Staged()
     if spec.aux:
-        plan.stages.append({aux: _apart(spec.aux.format(x=x))})
+        plan.stages.append({aux: spec.aux.format(x=x)})
     plan.stages.append({a: spec.a.format(x=x, aux=aux), b: spec.b.format(x=x, aux=aux)})
     for i in _round_numbers(restore):
         target, other, size = (a, b, spec.size_a) if i % 2 == 0 else (b, a, spec.size_b)
         word = _small_word(f"sha2(concat({key}, '{i}0|', {other}), 256)", f"{size}L")
         plan.stages.append({target: _shifted(target, word, f"{size}L", restore)})
-    plan.result = _apart(spec.join.format(x=x, a=a, b=b, aux=aux))
+    plan.stages.append({a: _apart(a)})
+    plan.result = spec.join.format(x=x, a=a, b=b, aux=aux)
     return plan
 
 
 def _staged_string(radix: Radix, x: str, key: str, prefix: str, restore: bool) -> Staged:
-    others, members, n, left, right, token, runs, gaps = (
-        prefix + name for name in ("others", "members", "n", "l", "r", "token", "runs", "gaps")
+    others, members, n, left, right, token, place, runs, gaps = (
+        prefix + name
+        for name in ("others", "members", "n", "l", "r", "token", "place", "runs", "gaps")
     )
     short = f"{n} <= {radix.staged_chars}"
     halves = {
@@ -431,8 +439,8 @@ def _staged_string(radix: Radix, x: str, key: str, prefix: str, restore: bool) -
     ):
         # longer texts leave null halves here: their rounds cost nothing
         sizes[half["n"]] = f"CASE WHEN {short} THEN {length} END"
-        numbers[half["v"]] = _apart(radix.number(text))
-        numbers[half["hi"]] = radix.power(f"{half['n']} - {half['n']} div 2")
+        numbers[half["v"]] = radix.number(text)
+        numbers[half["hi"]] = radix.power(_apart(f"{half['n']} - {half['n']} div 2"))
         numbers[half["lo"]] = radix.power(f"{half['n']} div 2")
     plan = Staged(
         stages=[
@@ -454,15 +462,18 @@ def _staged_string(radix: Radix, x: str, key: str, prefix: str, restore: bool) -
         modulus = f"{target['hi']} * {target['lo']}"
         plan.stages.append({target["v"]: _shifted(target["v"], word, modulus, restore)})
     runs_of = f"[{radix.char_class}]+"
-    gapped = f"{short} AND {others} <> ''"
+    gapped = f"{short} AND length({others}) > 1"
     spelled = [radix.spelled(half["v"], half["n"]) for half in halves.values()]
     plan.stages.append(
         {
-            token: _apart(f"concat({', '.join(spelled)})"),
+            token: f"concat({', '.join(spelled)})",
+            place: f"instr({x}, {others})",
+            n: _apart(n),
             runs: f"CASE WHEN {gapped} THEN regexp_extract_all({x}, '{runs_of}', 0) END",
             gaps: f"CASE WHEN {gapped} THEN split({x}, '{runs_of}') END",
         }
     )
+    single_gap = f"concat(left({token}, {place} - 1), {others}, substring({token}, {place}, {n}))"
     # few runs: walk them, taking as many token characters as each run is long
     merged = (
         f"aggregate({runs}, named_struct('o', 1, 'g', 2, 't', element_at({gaps}, 1)), "
@@ -472,6 +483,7 @@ def _staged_string(radix: Radix, x: str, key: str, prefix: str, restore: bool) -
     )
     plan.result = (
         f"CASE WHEN {n} > {radix.staged_chars} THEN {_string_single(radix, x, key, restore)} "
-        f"WHEN {others} = '' THEN {token} ELSE {merged} END"
+        f"WHEN {others} = '' THEN {token} "
+        f"WHEN length({others}) = 1 THEN {single_gap} ELSE {merged} END"
     )
     return plan

@@ -7,9 +7,10 @@ row, so a table of policies of any size is parsed without a shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the function of a column that is listed without one.
@@ -113,18 +114,24 @@ def function_of(policy: Column, var: Column) -> Column:
     return F.try_element_at(F.filter(policy, lambda m: m["var"] == var), F.lit(1))["pseudoFunc"]
 
 
-def _evaluate(spark: SparkSession, value: Column):
-    """Evaluate one of the expressions above for a single driver-side text."""
-    return spark.sql("SELECT 1 AS one").select(value.alias("value")).first()["value"]
+# -- one text on the driver ---------------------------------------------------------------------
 
 
-def policy_of(spark: SparkSession, option: str) -> list[tuple[str, str]]:
-    """Parse one option string for the driver: ``[(var, pseudoFunc)]``."""
-    rows = _evaluate(spark, parse_option(F.lit(option)))
-    return [(row["var"], row["pseudoFunc"]) for row in rows]
+def parse_declaration(text: str) -> tuple[str, list[str]]:
+    """``declaration`` for a single text."""
+    plain = re.sub("[()]", " ", text).strip()
+    name, blank, rest = plain.partition(" ")
+    return name, [arg.strip() for arg in rest.split(",")] if blank else []
 
 
-def declaration_of(spark: SparkSession, text: str) -> tuple[str, list[str]]:
-    row = _evaluate(spark, declaration(F.lit(text)))
-    return row["name"], list(row["args"])
-
+def parse_policy(option: str) -> list[tuple[str, str]]:
+    """``parse_option`` for a single text: ``[(var, pseudoFunc)]``."""
+    policy: dict[str, str] = {}
+    for mapping in option.split(";"):
+        parts = [part.strip() for part in mapping.split("=") if part.strip()]
+        if len(parts) == 1:
+            policy[parts[0]] = UNDEFINED
+        elif len(parts) == 2:
+            name, args = parse_declaration(parts[1])
+            policy[parts[0]] = f"{name}({','.join(args)})"
+    return list(policy.items())

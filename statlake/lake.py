@@ -219,7 +219,7 @@ class Lake:
         stored_policy = None
         if pseudo is not None:
             # after the rebalance, so the cipher's work is spread evenly and moved nowhere
-            mappings = grammar.policy_of(self.spark, pseudo)
+            mappings = grammar.parse_policy(pseudo)
             shaped = pseudonymize(shaped, mappings, self.keys)
             stored_policy = mappings
 
@@ -320,7 +320,7 @@ class Lake:
                 raise LakeError(f"'{path}' lies inside version {parts[n]} of '{parent}'")
 
     def _restoring_policy(self, path: str, version: int, pseudo: str) -> list[tuple[str, str]]:
-        asked = grammar.policy_of(self.spark, pseudo)
+        asked = grammar.parse_policy(pseudo)
         if all(function != grammar.UNDEFINED for _, function in asked):
             return asked
         document = (

@@ -43,24 +43,20 @@ def accessible(catalog: DataFrame, grants: DataFrame, user: str, privilege: str
         .select("path_prefix", "max_valuation", "states")
         .distinct()
     )
-    # a whole path listed under many ancestors must come out once: keep its identity in a struct
-    keyed = catalog.select(
-        F.struct(*catalog.columns).alias("entry"),
-        F.explode(ancestors(F.col("path"))).alias("ancestor"),
-    )
+    keyed = catalog.withColumn("ancestor", F.explode(ancestors(F.col("path"))))
     condition = (F.col("ancestor") == F.col("path_prefix")) & _covers(
-        F.col("entry.valuation"), F.col("entry.state")
+        F.col("valuation"), F.col("state")
     )
     bounded = mine.limit(BROADCAST_GRANTS + 1).count() <= BROADCAST_GRANTS
     if bounded:
         hits = keyed.join(F.broadcast(mine), condition, "left_semi")
     else:
         # a short prefix such as "/a" may be an ancestor of most rows: spread it over salts
-        salted = keyed.withColumn("salt", F.pmod(F.xxhash64("entry.path", "entry.version"), F.lit(SALTS)))
+        salted = keyed.withColumn("salt", F.pmod(F.xxhash64("path", "version"), F.lit(SALTS)))
         copies = mine.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         hits = salted.join(copies, condition & (F.col("salt") == F.col("copy")), "left_semi")
-    covered = hits.select("entry.path", "entry.version").distinct()
-    return catalog.join(covered, ["path", "version"], "left_semi")
+    # a dataset that several of its ancestors cover comes out once
+    return hits.dropDuplicates(["path", "version"]).select(*catalog.columns)
 
 
 def may_access(

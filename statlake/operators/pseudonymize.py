@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from statlake.errors import PolicyError
 from statlake.functions import cipher
-from statlake.functions.policy import UNDEFINED, declaration_of, policy_of
+from statlake.functions.policy import UNDEFINED, parse_declaration, parse_policy
 
 Policy = str | Mapping[str, str] | list[tuple[str, str]]
 
@@ -19,22 +19,16 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def resolve_function(spark: SparkSession, text: str) -> tuple[str, str]:
+def resolve_function(function: str) -> tuple[str, str]:
     """``(alphabet, key id)`` of a function declaration."""
-    name, args = declaration_of(spark, text)
+    name, args = parse_declaration(function)
     if name not in cipher.PRESETS:
         raise PolicyError(f"no pseudonymization function '{name}' is defined")
     if len(args) != 1:
-        raise PolicyError(f"function '{name}' takes exactly one argument, the key id; got {args}")
+        raise PolicyError(f"'{name}' takes exactly one argument, the key id; got {args}")
     return cipher.PRESETS[name], args[0]
 
 
-def _mappings(spark: SparkSession, policy: Policy) -> list[tuple[str, str]]:
-    if isinstance(policy, str):
-        return policy_of(spark, policy)
-    return list(policy.items()) if isinstance(policy, Mapping) else list(policy)
-
-
 def _key_frame(spark: SparkSession, derived: list[str]) -> DataFrame:
     """One row of derived keys. A local relation shows only its column names in plans, so
     neither explain output nor event logs hold key material."""
@@ -61,18 +55,18 @@ def _transform(
     df: DataFrame, policy: Policy, keys: Mapping[str, str], restore: bool
 ) -> DataFrame:
     spark = df.sparkSession
+    mappings = parse_policy(policy) if isinstance(policy, str) else list(dict(policy).items())
+    if not mappings:
+        return df
     types = {f.name: f.dataType for f in df.schema.fields}
     derived: dict[str, str] = {}
     plans: dict[str, cipher.Staged] = {}
-    functions: dict[str, tuple[str, str]] = {}
-    for var, function in _mappings(spark, policy):
+    for var, function in mappings:
         if var not in types:
             raise PolicyError(f"the policy names column '{var}', which the data does not have")
         if function == UNDEFINED:
             raise PolicyError(f"column '{var}' has no pseudonymization function")
-        if function not in functions:
-            functions[function] = resolve_function(spark, function)
-        alphabet, key_id = functions[function]
+        alphabet, key_id = resolve_function(function)
         if key_id not in keys:
             raise PolicyError(f"no key '{key_id}' is known")
         kind = cipher.type_name(types[var])
@@ -81,8 +75,6 @@ def _transform(
         plans[var] = cipher.staged(
             kind, alphabet, _quoted(var), key_column, f"__fpe{len(plans)}_", restore
         )
-    if not plans:
-        return df
 
     key_frame = _key_frame(spark, list(derived))
     frame = df.withColumns(
@@ -125,8 +117,8 @@ def register_functions(
     """
     names = []
     for text in declarations:
-        base, args = declaration_of(spark, text)
-        alphabet, key_id = resolve_function(spark, text)
+        base, args = parse_declaration(text)
+        alphabet, key_id = resolve_function(text)
         if key_id not in keys:
             raise PolicyError(f"no key '{key_id}' is known")
         canonical = f"{base}({','.join(args)})"
