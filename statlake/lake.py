@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from statlake.errors import (
     DatasetNotFound,
-    LakeError,
     MissingOption,
     PermissionDenied,
     PolicyError,
@@ -26,7 +25,6 @@ from statlake.functions.avro import schema_fields
 from statlake.functions.paths import check_path
 from statlake.operators import access
 from statlake.operators.catalog import COMMIT_FILE, META_FILE, list_prefix
-from statlake.operators.documents import meta_json
 from statlake.operators.pseudonymize import depseudonymize, pseudonymize
 from statlake.sources import tables
 
@@ -213,7 +211,6 @@ class Lake:
         if state not in access.STATES:
             raise MissingOption(f"state '{state}' is not one of {access.STATES}")
         self._check_access(path, "WRITE", valuation, state)
-        self._check_nesting(path)
 
         shaped = self._shaped(df, max_partitions) if auto_repartition else df
         stored_policy = None
@@ -270,33 +267,31 @@ class Lake:
         return df.hint("rebalance", start).coalesce(limit)
 
     def _write_documents(
-        self, path, version, valuation, state, dataset_doc, lineage_doc, policy
+        self,
+        path: str,
+        version: int,
+        valuation: str,
+        state: str,
+        dataset_doc: str | None,
+        lineage_doc: str | None,
+        policy: list[tuple[str, str]] | None,
     ) -> None:
-        key = [F.lit(path).alias("path"), F.lit(version).cast("bigint").alias("version")]
-        meta = meta_json(
-            F.lit(path),
-            F.lit(version),
-            F.lit(valuation),
-            F.lit(state),
-            F.lit(self.user).cast("string"),
-        )
-        texts = {"meta": meta, "doc": dataset_doc, "lineage": lineage_doc}
+        meta = {
+            "id": {"path": path, "version": str(version)},
+            "valuation": valuation,
+            "state": state,
+        }
+        if self.user is not None:
+            meta["createdBy"] = self.user
+        texts = {"meta": _json_text(meta), "doc": dataset_doc, "lineage": lineage_doc}
         if policy is not None:
-            pairs = [F.struct(F.lit(v).alias("var"), F.lit(f).alias("pseudoFunc")) for v, f in policy]
-            entries = F.array(*pairs) if pairs else F.array().cast(grammar.POLICY_TYPE)
-            texts["policy"] = grammar.to_policy_json(entries)
-        documents = [
-            F.struct(F.lit(kind).alias("kind"), (t if kind in ("meta", "policy") else F.lit(t)).alias("json"))
-            for kind, t in texts.items()
-            if t is not None
+            texts["policy"] = _json_text([{"var": v, "pseudoFunc": f} for v, f in policy])
+        rows = [
+            {"path": path, "version": version, "kind": kind, "json": text}
+            for kind, text in texts.items()
+            if text is not None
         ]
-        rows = self.spark.sql("SELECT 1 AS one").select(
-            *key, F.inline(F.array(*documents)).alias("kind", "json")
-        )
-        rows = rows.withColumn("bucket", tables.bucket_of(F.col("path")))
-        rows.write.mode("append").partitionBy("bucket").parquet(
-            tables.table_uri(self.root, "documents")
-        )
+        tables.append_rows(self.spark, self.root, "documents", rows)
 
     def _event(self, uri: str, path: str, version: int, kind: str, file: str) -> None:
         row = {"uri": f"{uri}/{file}", "path": path, "version": version, "kind": kind, "ts": _now()}
@@ -308,17 +303,6 @@ class Lake:
         if not access.may_access(self.grants(), self.user, path, privilege, valuation, state):
             raise PermissionDenied("Permission denied")
 
-    def _check_nesting(self, path: str) -> None:
-        """A dataset must not lie inside a version directory of another dataset."""
-        parts = path.split("/")
-        for n in range(2, len(parts)):
-            if not (parts[n].isascii() and parts[n].isdigit()):
-                continue
-            parent = "/".join(parts[:n])
-            rows = tables.read_bucket(self.spark, self.root, "catalog", parent)
-            if not rows.filter(F.col("version") == int(parts[n])).isEmpty():
-                raise LakeError(f"'{path}' lies inside version {parts[n]} of '{parent}'")
-
     def _restoring_policy(self, path: str, version: int, pseudo: str) -> list[tuple[str, str]]:
         asked = grammar.parse_policy(pseudo)
         if all(function != grammar.UNDEFINED for _, function in asked):
@@ -340,6 +324,10 @@ class Lake:
         return resolved
 
 
+def _json_text(value) -> str:
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 

@@ -11,7 +11,8 @@ from statlake.sources.tables import CHANGES, table_uri
 
 def change_stream(spark: SparkSession, root: str) -> DataFrame:
     """Events as they are appended to the change log."""
-    return spark.readStream.schema(CHANGES).parquet(table_uri(root, "changes"))
+    reader = spark.readStream.schema(CHANGES).option("recursiveFileLookup", "true")
+    return reader.parquet(table_uri(root, "changes"))
 
 
 def commits(changes: DataFrame, delay: str = "1 hour") -> DataFrame:
