@@ -308,30 +308,28 @@ def _string_single(radix: Radix, x: str, key: str, restore: bool) -> str:
         )
         return f"transform(sequence(0, {count} - 1), j -> {_let('n', held, entry)})"
 
-    def moved(target: str, other: str) -> str:
-        message = (
-            f"concat(s.k, i, s.n, '|', "
-            f"array_join(transform(s.{other}, y -> cast(y.v as string)), ','))"
-        )
-        # the digest of the message serves the first block, every further block gets its own
-        digest = "IF(j = 0, h, sha2(concat(h, '|', j), 256))"
-        value = _shifted("y.v", _large_word("g", "y.hi", "y.lo"), "y.hi * y.lo", restore)
-        entry = f"named_struct('n', y.n, 'v', {value}, 'hi', y.hi, 'lo', y.lo)"
-        return _let(
-            "h",
-            f"sha2({message}, 256)",
-            f"transform(s.{target}, (y, j) -> {_let('g', digest, entry)})",
-        )
-
-    even = f"named_struct('k', s.k, 'n', s.n, 'a', {moved('a', 'b')}, 'b', s.b)"
-    odd = f"named_struct('k', s.k, 'n', s.n, 'a', s.a, 'b', {moved('b', 'a')})"
+    message = (
+        "concat(s.k, i, s.n, '|', array_join(transform(s.next, y -> cast(y.v as string)), ','))"
+    )
+    # the digest of the message serves the first block, every further block gets its own
+    digest = "IF(j = 0, h, sha2(concat(h, '|', j), 256))"
+    value = _shifted("y.v", _large_word("g", "y.hi", "y.lo"), "y.hi * y.lo", restore)
+    entry = f"named_struct('n', y.n, 'v', {value}, 'hi', y.hi, 'lo', y.lo)"
+    moved = _let(
+        "h",
+        f"sha2({message}, 256)",
+        f"transform(s.turn, (y, j) -> {_let('g', digest, entry)})",
+    )
+    # the halves take turns: apply starts with a, restore with b, and ten rounds end where they began
     order = f"sequence({ROUNDS - 1}, 0)" if restore else f"sequence(0, {ROUNDS - 1})"
-    spelled = f"array_join(transform(concat(s.a, s.b), y -> {radix.spelled('y.v', 'y.n')}), '')"
+    left, right = blocks("1", "t.n div 2"), blocks("t.n div 2 + 1", "t.n - t.n div 2")
+    turn, following = (right, left) if restore else (left, right)
+    halves = "concat(s.next, s.turn)" if restore else "concat(s.turn, s.next)"
     ciphered = (
         f"aggregate({order}, "
-        f"named_struct('k', t.k, 'n', t.n, 'a', {blocks('1', 't.n div 2')}, "
-        f"'b', {blocks('t.n div 2 + 1', 't.n - t.n div 2')}), "
-        f"(s, i) -> IF(i % 2 = 0, {even}, {odd}), s -> {spelled})"
+        f"named_struct('k', t.k, 'n', t.n, 'turn', {turn}, 'next', {following}), "
+        f"(s, i) -> named_struct('k', s.k, 'n', s.n, 'turn', s.next, 'next', {moved}), "
+        f"s -> array_join(transform({halves}, y -> {radix.spelled('y.v', 'y.n')}), ''))"
     )
     prepared = (
         f"named_struct('k', {key}, 'n', cast(length(p) as int), "
@@ -404,8 +402,17 @@ def staged(kind: str, alphabet: str, x: str, key: str, prefix: str, restore: boo
     return _staged_numeric(NUMERIC[kind], x, key, prefix, restore)
 
 
-def _round_numbers(restore: bool) -> list[int]:
-    return list(reversed(range(ROUNDS))) if restore else list(range(ROUNDS))
+def _round_stages(restore: bool, names: tuple[str, str], step) -> list[dict[str, str]]:
+    """The rounds in pairs, one projection for each pair. ``step(i, target, other)`` is the new
+    value of a half; the second half of a pair repeats the text of the first, which Spark computes
+    once for both."""
+    rounds = list(reversed(range(ROUNDS))) if restore else list(range(ROUNDS))
+    stages = []
+    for first, second in zip(rounds[::2], rounds[1::2]):
+        one, two = names[first % 2], names[second % 2]
+        changed = step(first, one, two)
+        stages.append({one: changed, two: step(second, two, f"({changed})")})
+    return stages
 
 
 def _staged_numeric(spec: Numeric, x: str, key: str, prefix: str, restore: bool) -> Staged:
@@ -414,10 +421,13 @@ def _staged_numeric(spec: Numeric, x: str, key: str, prefix: str, restore: bool)
     if spec.aux:
         plan.stages.append({aux: spec.aux.format(x=x)})
     plan.stages.append({a: spec.a.format(x=x, aux=aux), b: spec.b.format(x=x, aux=aux)})
-    for i in _round_numbers(restore):
-        target, other, size = (a, b, spec.size_a) if i % 2 == 0 else (b, a, spec.size_b)
-        word = _small_word(f"sha2(concat({key}, '{i}0|', {other}), 256)", f"{size}L")
-        plan.stages.append({target: _shifted(target, word, f"{size}L", restore)})
+
+    def step(i: int, target: str, other: str) -> str:
+        size = f"{spec.size_a if target == a else spec.size_b}L"
+        word = _small_word(f"sha2(concat({key}, '{i}0|', {other}), 256)", size)
+        return _shifted(target, word, size, restore)
+
+    plan.stages += _round_stages(restore, (a, b), step)
     plan.stages.append({a: _apart(a)})
     plan.result = spec.join.format(x=x, a=a, b=b, aux=aux)
     return plan
@@ -429,16 +439,18 @@ def _staged_string(radix: Radix, x: str, key: str, prefix: str, restore: bool) -
         for name in ("others", "members", "n", "l", "r", "token", "place", "runs", "gaps")
     )
     short = f"{n} <= {radix.staged_chars}"
+    count = f"cast(length({members}) as int)"
+    fits = f"{count} <= {radix.staged_chars}"
     halves = {
         name: {part: f"{prefix}{name}_{part}" for part in ("v", "n", "hi", "lo")} for name in "ab"
     }
     sizes, numbers = {}, {}
     for text, length, half in (
-        (left, f"{n} div 2", halves["a"]),
-        (right, f"{n} - {n} div 2", halves["b"]),
+        (left, f"{count} div 2", halves["a"]),
+        (right, f"{count} - {count} div 2", halves["b"]),
     ):
         # longer texts leave null halves here: their rounds cost nothing
-        sizes[half["n"]] = f"CASE WHEN {short} THEN {length} END"
+        sizes[half["n"]] = f"CASE WHEN {fits} THEN {length} END"
         numbers[half["v"]] = radix.number(text)
         numbers[half["hi"]] = radix.power(_apart(f"{half['n']} - {half['n']} div 2"))
         numbers[half["lo"]] = radix.power(f"{half['n']} div 2")
@@ -446,21 +458,23 @@ def _staged_string(radix: Radix, x: str, key: str, prefix: str, restore: bool) -
         stages=[
             {others: radix.others(x)},
             {members: radix.members(x, others)},
-            {n: f"cast(length({members}) as int)"},
             {
-                left: f"CASE WHEN {short} THEN substring({members}, 1, {n} div 2) END",
-                right: f"CASE WHEN {short} THEN substring({members}, {n} div 2 + 1, {n}) END",
+                n: count,
+                left: f"CASE WHEN {fits} THEN substring({members}, 1, {count} div 2) END",
+                right: f"CASE WHEN {fits} THEN substring({members}, {count} div 2 + 1, {count}) END",
                 **sizes,
             },
             numbers,
         ]
     )
-    for i in _round_numbers(restore):
-        target, other = (halves[name] for name in ("ab" if i % 2 == 0 else "ba"))
-        digest = f"sha2(concat({key}, '{i}', {n}, '|', {other['v']}), 256)"
-        word = _large_word(digest, target["hi"], target["lo"])
-        modulus = f"{target['hi']} * {target['lo']}"
-        plan.stages.append({target["v"]: _shifted(target["v"], word, modulus, restore)})
+
+    def step(i: int, target: str, other: str) -> str:
+        half = next(h for h in halves.values() if h["v"] == target)
+        digest = f"sha2(concat({key}, '{i}', {n}, '|', {other}), 256)"
+        word = _large_word(digest, half["hi"], half["lo"])
+        return _shifted(target, word, f"{half['hi']} * {half['lo']}", restore)
+
+    plan.stages += _round_stages(restore, (halves["a"]["v"], halves["b"]["v"]), step)
     runs_of = f"[{radix.char_class}]+"
     gapped = f"{short} AND length({others}) > 1"
     spelled = [radix.spelled(half["v"], half["n"]) for half in halves.values()]

@@ -25,6 +25,7 @@ from statlake.functions.avro import schema_fields
 from statlake.functions.paths import check_path
 from statlake.operators import access
 from statlake.operators.catalog import COMMIT_FILE, META_FILE, list_prefix
+from statlake.operators.layout import spread
 from statlake.operators.pseudonymize import depseudonymize, pseudonymize
 from statlake.sources import tables
 
@@ -140,7 +141,8 @@ class Lake:
         )
         if pseudo is None:
             return df
-        return depseudonymize(df, self._restoring_policy(path, entry["version"], pseudo), self.keys)
+        policy = self._restoring_policy(path, entry["version"], pseudo)
+        return depseudonymize(spread(df), policy, self.keys)
 
     def resolve(self, path: str, snapshot: int = 0) -> Mapping:
         """The catalog row of the version that a read would see."""

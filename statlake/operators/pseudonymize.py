@@ -80,10 +80,18 @@ def _transform(
     frame = df.withColumns(
         {name: key_frame.select(f"k{i}").scalar() for i, name in enumerate(derived.values())}
     )
-    for var, plan in plans.items():
+    tokens = []
+    for i, (var, plan) in enumerate(plans.items()):
         for stage in plan.stages:
             frame = frame.withColumns({name: F.expr(text) for name, text in stage.items()})
-        frame = frame.withColumn(var, F.expr(plan.result))
+        frame = frame.withColumn(f"__token{i}", F.expr(plan.result))
+        tokens.append(F.col(f"__token{i}").alias(var))
+    # Spark moves a filter below projections by writing their expressions into it, and every round
+    # uses the one before twice: a filter or join on a token would repeat the rounds hundreds of
+    # times. It moves no filter on a generated column below its generator, while filters on all
+    # other columns still reach the scan.
+    others = [F.col(_quoted(c)) for c in df.columns if c not in plans]
+    frame = frame.select(*others, F.inline_outer(F.array(F.struct(*tokens))))
     return frame.select(*[F.col(_quoted(c)) for c in df.columns])
 
 

@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.functions import policy as grammar
+from statlake.operators.layout import spread
 from statlake.operators.pseudonymize import depseudonymize, pseudonymize, register_functions
 from statlake.plans.registry import query
-from statlake.plans.workspace import KEYS, fresh_lake, table
+from statlake.plans.workspace import KEYS, fresh_lake
+from statlake.plans.workspace import table as stored_table
 from statlake.streaming.changes import write_available
 
+
+def table(spark, sf_dir, name):
+    """A test table spread over the cores: the ciphers are CPU-heavy and the tables are small files."""
+    return spread(stored_table(spark, sf_dir, name))
+
+
 # -- presets: each token has the length and the alphabet of its value and can be restored ------
 
 
@@ -112,7 +120,7 @@ _round_trip("timestamp", "events", "event_id", "ts", "ts")
 def pseudo_write_read(spark, sf_dir):
     lake = fresh_lake(spark)
     lake.write(
-        table(spark, sf_dir, "customer"),
+        stored_table(spark, sf_dir, "customer"),
         "/tables/customer",
         valuation="SENSITIVE",
         state="RAW",
@@ -157,14 +165,14 @@ def pseudo_sql_udf(spark, sf_dir):
 @query("pseudo_stream", "SELECT event_id, user_id, props FROM events")
 def pseudo_stream(spark, sf_dir):
     policy = {"user_id": "fpe-digits(key1)", "props": "fpe-digits(key1)"}
-    schema = table(spark, sf_dir, "events").schema
+    schema = stored_table(spark, sf_dir, "events").schema
     # the bracket makes the path a pattern, which a stream may read whether it names a file or a folder
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
     tokens = pseudonymize(events.select("event_id", "user_id", "props"), policy, KEYS)
     root = fresh_lake(spark).root
     write_available(tokens, f"{root}/streams/events", f"{root}/streams/events-checkpoint")
     stored = spark.read.schema(tokens.schema).parquet(f"{root}/streams/events")
-    return depseudonymize(stored, policy, KEYS)
+    return depseudonymize(spread(stored), policy, KEYS)
 
 
 # -- policy grammar -----------------------------------------------------------------------------
@@ -175,7 +183,7 @@ _FUNCTION_SQL = "'fpe-digits(key' || c_nationkey || ')'"
 def _policies(spark, sf_dir):
     """A policy option for each customer."""
     option = F.expr("concat(c_name, ' = fpe-digits( key', c_nationkey, ' ) ; ;', c_mktsegment)")
-    customer = table(spark, sf_dir, "customer")
+    customer = stored_table(spark, sf_dir, "customer")
     return customer.select("c_custkey", "c_name", "c_mktsegment", grammar.parse_option(option).alias("policy"))
 
 
