@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Spread a plain scan with fewer partitions than the session has cores, ahead of CPU-heavy
-    work: a file with one row group is one task, however many rows it holds. Scans with enough
-    partitions, which is any large dataset, are returned as they are and not shuffled.
+    """Spread a plain scan that would keep less than half of the session's cores busy, ahead of
+    CPU-heavy work: a file with one row group is one task, however many rows it holds. Scans with
+    enough partitions, which is any large dataset, are returned as they are and not shuffled.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan if 2 * scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
