@@ -133,16 +133,16 @@ class Numeric:
 def _mantissa(bits: int, smallest: str, largest: str, back: str) -> Numeric:
     """Permute the mantissa, keep sign and exponent. Zero, NaN, infinities and subnormal numbers
     pass through, so every finite number stays finite."""
-    size = abs_x = "abs(cast({x} as double))"
-    exponent = f"cast(floor(log2({abs_x})) as int)"
+    size = "abs(cast({x} as double))"
+    exponent = f"cast(floor(log2({size})) as int)"
     # log2 may round across a power of two, so the exponent is corrected by comparison
     aux = (
-        f"CASE WHEN {abs_x} BETWEEN {smallest} AND {largest} THEN "
+        f"CASE WHEN {size} BETWEEN {smallest} AND {largest} THEN "
         f"CASE WHEN {size} >= pow(2D, {exponent} + 1) THEN {exponent} + 1 "
         f"WHEN {size} < pow(2D, {exponent}) THEN {exponent} - 1 ELSE {exponent} END END"
     )
     low = bits // 2
-    fraction = f"(cast({abs_x} / pow(2D, {{aux}}) * {1 << bits}D as bigint) - {1 << bits}L)"
+    fraction = f"(cast({size} / pow(2D, {{aux}}) * {1 << bits}D as bigint) - {1 << bits}L)"
     joined = f"({1 << bits}L + {{a}} * {1 << low}L + {{b}})"
     return Numeric(
         a=f"shiftright({fraction}, {low})",

@@ -48,10 +48,6 @@ def check_path(path: str, reading: bool) -> str:
     return trimmed
 
 
-def dataset_uri(parent_uri: Column, path: Column, version: Column) -> Column:
-    return F.concat(parent_uri, path, F.lit("/"), version.cast("string"))
-
-
 def ancestors(path: Column) -> Column:
     """Every prefix of a path that ends at a segment border, the path itself included:
     ``/a/b`` gives ``["", "/a", "/a/b"]`` (the empty prefix covers everything)."""

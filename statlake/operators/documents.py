@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("meta", "doc", "lineage", "policy")
-
-
 def documents_of(entries: DataFrame, kind: str, *content: str) -> DataFrame:
     """One document for each (path, version) row, its JSON made of the content columns."""
     return entries.select(
