@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statlake.llm.common import read
+from statlake.llm.decontaminate import LEAST, SPAN, WINDOW, contaminated
+from statlake.llm.kd_shards import kd_shards
+from statlake.llm.mixing import mix_decisions
 from statlake.llm.near_dedup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +26,90 @@ def query(run: Query) -> Query:
 @query
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), k=2, percent=80)
+
+
+@query
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_decisions(read(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+
+
+@query
+def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(read(spark, sf_dir, "documents"), shards=40)
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "n_items", "first_item_id")
+
+
+# every alignment of a document with an item, word by word, without seeds
+ORACLE["op10_decontaminate"] = rf"""
+WITH split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ 	-]+'), w -> w <> '') AS ws
+    FROM documents
+), items AS (
+    SELECT min(item_id) AS item_id, ws FROM (
+        SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[ 	-]+'), w -> w <> '') AS ws
+        FROM benchmark WHERE text IS NOT NULL
+    ) GROUP BY ws HAVING len(ws) >= {SPAN}
+), d AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
+i AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM items),
+same AS (
+    SELECT doc_id, item_id, n, d.pos - i.pos AS line, d.pos AS pos,
+        count(*) OVER (
+            PARTITION BY doc_id, item_id, d.pos - i.pos ORDER BY d.pos
+            RANGE BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING
+        ) AS agree
+    FROM d JOIN i USING (w)
+), found AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items, min(item_id) AS first_item_id
+    FROM same WHERE agree >= CASE WHEN n < {WINDOW} THEN n ELSE {LEAST} END GROUP BY doc_id
+)
+SELECT doc_id, n_items IS NOT NULL AS contaminated, CAST(coalesce(n_items, 0) AS INTEGER) AS n_items, first_item_id
+FROM documents LEFT JOIN found USING (doc_id)
+"""
+
+# the same sample by one sort of each source instead of histograms
+ORACLE["op4_source_mix"] = r"""
+WITH docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size,
+        (('0x' || left(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|7')), 13))::BIGINT + 0.5::DOUBLE)
+            / 4503599627370496.0::DOUBLE AS u
+    FROM documents
+), leveled AS (SELECT *, length(CAST(size AS VARCHAR)) AS level FROM docs),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM leveled GROUP BY source),
+s1 AS (
+    SELECT *, (3 * source_size)::DOUBLE AS cap, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w,
+        sum(source_size) OVER () AS every
+    FROM s0
+), s2 AS (
+    SELECT *, (every - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate FROM s1
+), s AS (SELECT source, source_size, least(cap, max(rate) OVER () * w) AS target FROM s2),
+c0 AS (SELECT source, level, CAST(sum(size) AS BIGINT) AS words FROM leveled GROUP BY source, level),
+c1 AS (
+    SELECT c0.*, source_size, target, (3 * words)::DOUBLE AS cap, greatest(level * words, 1e-9)::DOUBLE AS w
+    FROM c0 JOIN s ON c0.source IS NOT DISTINCT FROM s.source
+), c2 AS (
+    SELECT *, (target - coalesce(sum(cap) OVER (PARTITION BY source ORDER BY cap / w, level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(w) OVER (PARTITION BY source ORDER BY cap / w, level ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate FROM c1
+), c3 AS (SELECT *, least(cap, max(rate) OVER (PARTITION BY source) * w) AS allotted FROM c2),
+c4 AS (SELECT *, CASE WHEN words > 0 THEN allotted / words ELSE 0 END AS mean FROM c3),
+c AS (
+    SELECT *, floor(mean) AS sure, mean - floor(mean) AS chance,
+        target - sum(floor(mean) * words) OVER (PARTITION BY source) AS rest FROM c4
+), q AS (
+    SELECT l.doc_id, l.size, c.source, source_size, target, sure, rest,
+        CASE WHEN chance > 0 THEN (u / (1 - u)) / (chance / (1 - chance)) END AS q
+    FROM leveled l JOIN c ON l.source IS NOT DISTINCT FROM c.source AND l.level = c.level
+), p AS (SELECT *, q / (1 + q) AS p FROM q),
+o AS (
+    SELECT *, sum(CASE WHEN p IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY p NULLS LAST, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS so_far FROM p
+)
+SELECT doc_id, size, source_size, target,
+    CAST((sure + CASE WHEN p IS NOT NULL AND 2 * so_far - size <= 2 * rest THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM o
+"""
