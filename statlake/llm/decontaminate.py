@@ -26,15 +26,16 @@ def _words(text: Column) -> Column:
 def _seeds(rows: DataFrame, words: str, *keep: str) -> DataFrame:
     """Rows (keep, pos, seed): each mask's hash at each word position from 0."""
     hashed = F.transform(F.col(words), lambda w: F.xxhash64(w))
-    rows = rows.select(*keep, hashed.alias("_w")).withColumn("_n", F.size("_w") - (SPAN - 1)).filter("_n > 0")
+    rows = rows.select(*keep, hashed.alias("_w")).withColumn("_n", F.size("_w") - (SPAN - 1))
 
     def of(mask: int) -> Column:
         read = lambda i: F.xxhash64(F.lit(mask), *[F.get(F.col("_w"), i + o) for o in MASKS[mask]])
         return F.transform(F.sequence(F.lit(0), F.col("_n") - 1), read)
 
-    rows = rows.select(*keep, "_n", F.concat(*map(of, range(len(MASKS)))).alias("_seeds"))
-    rows = rows.select(*keep, "_n", F.posexplode("_seeds").alias("_at", "seed"))
-    return rows.select(*keep, F.pmod(F.col("_at"), F.col("_n")).alias("pos"), "seed")
+    # no filter on the arrays: Spark would push it down and work them out again for every element
+    both = F.when(F.col("_n") > 0, F.concat(*map(of, range(len(MASKS)))))
+    rows = rows.select(*keep, "_n", F.posexplode_outer(both).alias("_at", "seed"))
+    return rows.select(*keep, F.pmod(F.col("_at"), F.col("_n")).alias("pos"), "seed").filter("seed is not null")
 
 
 def _overlaps(rows: DataFrame) -> DataFrame:

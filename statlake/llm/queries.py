@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.llm.common import read
@@ -12,6 +12,8 @@ from statlake.llm.decontaminate import LEAST, SPAN, WINDOW, contaminated
 from statlake.llm.kd_shards import kd_shards
 from statlake.llm.mixing import mix_decisions
 from statlake.llm.near_dedup import near_duplicates
+from statlake.llm.toxicity import fit_toxicity, score_toxicity
+from statlake.llm.weighted_sampling import weighted_fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,6 +41,24 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
+@query
+def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_fingerprints(read(spark, sf_dir, "documents"))
+
+
+def fold(doc_id: str, folds: int) -> Column:
+    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, read(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
+    return score_toxicity(docs, model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages"
+    )
+
+
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -48,11 +68,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # every alignment of a document with an item, word by word, without seeds
 ORACLE["op10_decontaminate"] = rf"""
 WITH split AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ 	-]+'), w -> w <> '') AS ws
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws
     FROM documents
 ), items AS (
     SELECT min(item_id) AS item_id, ws FROM (
-        SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[ 	-]+'), w -> w <> '') AS ws
+        SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws
         FROM benchmark WHERE text IS NOT NULL
     ) GROUP BY ws HAVING len(ws) >= {SPAN}
 ), d AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
@@ -75,7 +95,7 @@ FROM documents LEFT JOIN found USING (doc_id)
 # the same sample by one sort of each source instead of histograms
 ORACLE["op4_source_mix"] = r"""
 WITH docs AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size,
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
         (('0x' || left(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|7')), 13))::BIGINT + 0.5::DOUBLE)
             / 4503599627370496.0::DOUBLE AS u
     FROM documents
