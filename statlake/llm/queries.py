@@ -12,6 +12,7 @@ from statlake.llm.decontaminate import LEAST, SPAN, WINDOW, contaminated
 from statlake.llm.kd_shards import kd_shards
 from statlake.llm.mixing import mix_decisions
 from statlake.llm.near_dedup import near_duplicates
+from statlake.llm.token_records import token_records
 from statlake.llm.toxicity import fit_toxicity, score_toxicity
 from statlake.llm.weighted_sampling import weighted_fingerprints
 
@@ -30,6 +31,13 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+@query
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_records(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_decisions(read(spark, sf_dir, "documents"))
