@@ -12,6 +12,7 @@ from statlake.llm.decontaminate import LEAST, SPAN, WINDOW, contaminated
 from statlake.llm.kd_shards import kd_shards
 from statlake.llm.mixing import mix_decisions
 from statlake.llm.near_dedup import near_duplicates
+from statlake.llm.ngram_filter import score_texts
 from statlake.llm.token_records import token_records
 from statlake.llm.toxicity import fit_toxicity, score_toxicity
 from statlake.llm.weighted_sampling import weighted_fingerprints
@@ -44,6 +45,12 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 
 
+@query
+def op5_bigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_texts(read(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+    return scored.withColumn("held_out", ~F.col("train")).drop("train")
+
+
 @query
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(read(spark, sf_dir, "documents"), shards=40)
