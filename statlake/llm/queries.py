@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from statlake.llm.common import read
 from statlake.llm.decontaminate import LEAST, SPAN, WINDOW, contaminated
+from statlake.llm.html_extract import extract_main_text
 from statlake.llm.kd_shards import kd_shards
 from statlake.llm.mixing import mix_decisions
 from statlake.llm.near_dedup import near_duplicates
@@ -32,6 +33,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+@query
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
 @query
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
