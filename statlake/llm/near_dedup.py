@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.common import hashed_words, materialize, mix, seeds, ship, slices
-from statlake.llm.components import components
+from statlake.llm.components import components, contract, labels
 
 #: Bands and rows: a pair at similarity 0.8 shares no band with probability 6e-6.
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
 #: An estimate from BINS coordinates has a deviation of 0.026 at 0.8; pairs below this are not verified.
-LEAST_ESTIMATE = 0.66
+LEAST_ESTIMATE = 0.68
 #: Documents that are compared with one another by one Python call.
 BLOCK = 512
 
@@ -115,20 +115,59 @@ def _verified(batches: Iterable[pa.RecordBatch], k: int, percent: int) -> Iterat
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
-def _blocks(bucket: pd.DataFrame) -> pd.DataFrame:
-    """Pairs across components in one block pair of a bucket whose sketches are close."""
+class _Union:
+    """Groups of the component ids seen in one block."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (above := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(above, above)
+            x = above
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _signs(rows: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["sign"]), np.uint8).reshape(len(rows), BINS)
+
+
+def _kin(bucket: pd.DataFrame) -> pd.DataFrame:
+    """Of two blocks of a bucket, links that span the components whose sketches come close."""
     first, second = int(bucket["i"].iloc[0]), int(bucket["j"].iloc[0])
-    bucket = bucket.drop_duplicates("doc")
-    signs = np.frombuffer(b"".join(bucket["sign"]), np.uint8).reshape(len(bucket), BINS)
-    docs, comps, block = (bucket[c].to_numpy() for c in ("doc", "comp", "block"))
-    left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-    out = []
-    for x in left:
-        y = right[comps[right] != comps[x]]
-        if first == second:
-            y = y[docs[y] > docs[x]]
-        y = y[(signs[y] == signs[x]).mean(axis=1) >= LEAST_ESTIMATE]
-        out += [(max(docs[x], d), min(docs[x], d)) for d in docs[y]]
+    signs, comps, block = _signs(bucket), bucket["comp"].to_numpy(), bucket["block"].to_numpy()
+    names, counts = np.unique(comps, return_counts=True)
+    most = names[counts.argmax()]
+    seen, out = _Union(), []
+    for x in np.flatnonzero(comps != most):
+        other = np.flatnonzero((comps != comps[x]) & (block == (second if block[x] == first else first)))
+        near = other[(signs[other] == signs[x]).mean(axis=1) >= LEAST_ESTIMATE]
+        out += [(max(comps[x], y), min(comps[x], y)) for y in np.unique(comps[near]) if seen.join(comps[x], y)]
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _cross(rows: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
+    """Verified links from a block of queries to a block of their cluster, enough to join components."""
+    signs, comps, docs = _signs(rows), rows["comp"].to_numpy(), rows["doc"].to_numpy()
+    sets = [own for x in slices([pa.RecordBatch.from_pandas(rows[["text"]], preserve_index=False)], "text") for own in shingle_sets(x.column("text"), k)]
+    asks = rows["ask"].to_numpy()
+    data = np.flatnonzero(~asks)
+    seen, out = _Union(), []
+    for x in np.flatnonzero(asks):
+        close = (signs[data] == signs[x]).mean(axis=1)
+        for y in data[np.argsort(-close, kind="stable")][: int((close >= LEAST_ESTIMATE).sum())]:
+            if seen.find(comps[x]) == seen.find(comps[y]):
+                continue
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                seen.join(comps[x], comps[y])
+                out.append((max(docs[x], docs[y]), min(docs[x], docs[y])))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
@@ -144,6 +183,47 @@ def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     return joined.mapInArrow(lambda it: _verified(it, k, percent), "a long, b long")
 
 
+def _across(kept: DataFrame, crowded: DataFrame, first: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between the components that the stars left apart in a common bucket.
+
+    Buckets that hold several components are compared by sketches, in blocks, which gives clusters of
+    components that may link. In each cluster, all members outside its largest component are queries:
+    blocks of them meet blocks of the whole cluster and are checked on full sets until their
+    components are one. What comes out is linear in the members.
+    """
+    own = materialize(kept.join(first.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "sign", F.coalesce("component", "doc").alias("comp")))
+    labelled = crowded.select("key", "doc").join(own, "doc")
+    mixed = (
+        crowded.select("key", "doc").join(own.select("doc", "comp"), "doc").groupBy("key")
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
+        .filter("lo < hi and n > 2")
+        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    )
+    placed = (
+        labelled.join(mixed, "key")
+        .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("parts").cast("long")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("key", "comp", "sign", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    )
+    clusters = components(placed.groupBy("key", "i", "j").applyInPandas(_kin, "a long, b long"))
+    members = own.join(clusters.select(F.col("node").alias("comp"), F.col("component").alias("cluster")), "comp")
+    sizes = members.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("cluster").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("most"))
+    sizes = sizes.select(
+        "cluster",
+        F.col("most.comp").alias("most"),
+        F.ceil(F.col("all") / BLOCK).cast("int").alias("wide"),
+        F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("asking"),
+    )
+    members = members.join(sizes, "cluster").join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc")
+    at = lambda n: F.pmod(F.xxhash64("doc"), F.col(n).cast("long")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    shape = ["cluster", "doc", "comp", "sign", "text"]
+    asks = members.filter("comp <> most").select(*shape, F.lit(True).alias("ask"), at("asking").alias("i"), every("wide").alias("j"))
+    data = members.select(*shape, F.lit(False).alias("ask"), at("wide").alias("j"), every("asking").alias("i"))
+    return asks.unionByName(data).groupBy("cluster", "i", "j").applyInPandas(lambda rows: _cross(rows, k, percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Groups of near duplicates: one row for each row of docs (doc_id, text, ...).
 
@@ -156,8 +236,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links with nothing, has a null component and is kept. Other columns are ignored.
 
     Equal sets are folded first, so a hot group of copies is one representative. Buckets are compared
-    with their smallest and largest member; only pairs that these stars leave in different components
-    are compared with one another, in blocks on sketches. No pair is dropped by a cap.
+    with their smallest and largest member; what these stars leave in different components is compared with one
+    another in blocks. No pair is dropped by a cap.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -182,30 +262,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     crowded = materialize(entries.join(buckets, "key"))
     stars = crowded.select(F.col("doc").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).filter("a <> b")
     stars = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    same = members.filter("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     found = materialize(_confirm(_close(stars, signs), texts, k, percent))
-    first = components(found)
-    labelled = crowded.select("key", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left")
-    labelled = labelled.select("key", "doc", F.coalesce("component", "doc").alias("comp"))
-    mixed = (
-        labelled.groupBy("key")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-        .filter("lo < hi and n > 2")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    )
-    placed = (
-        labelled.join(mixed, "key")
-        .join(signs, "doc")
-        .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("parts").cast("long")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("key", "doc", "comp", "sign", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    )
-    across = placed.groupBy("key", "i", "j").applyInPandas(_blocks, "a long, b long").distinct()
-    across = across.join(stars, ["a", "b"], "left_anti")
-    more = _confirm(across, texts, k, percent)
-    labels = components(found.unionByName(more).unionByName(same))
+    # two rounds leave few labels; what they leave apart is joined at the end
+    merged = contract(found, rounds=2)
+    more = _across(kept, crowded, labels(merged), texts, k, percent)
+    # ids that stand for several texts join their sets
+    several = members.groupBy("doc_id").agg(F.min("doc").alias("b"), F.max("doc").alias("a")).filter("b < a")
+    several = members.join(several.select("doc_id", "b"), "doc_id").select(F.col("doc").alias("a"), "b")
+    whole = components(merged.unionByName(more).unionByName(several))
+    members = members.groupBy("doc_id").agg(F.min("doc").alias("node")).join(whole, "node", "left")
+    groups = members.select("doc_id", F.coalesce("component", "node").alias("component"))
     return (
-        own.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        own.join(groups, "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
     )
