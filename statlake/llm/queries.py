@@ -14,6 +14,7 @@ from statlake.llm.kd_shards import kd_shards
 from statlake.llm.mixing import mix_decisions
 from statlake.llm.near_dedup import near_duplicates
 from statlake.llm.ngram_filter import score_texts
+from statlake.llm.preferences import END, HEAD_CLOSE, HEAD_OPEN, LEARNT, format_preferences, mask, pair_neighbours
 from statlake.llm.token_records import token_records
 from statlake.llm.toxicity import fit_toxicity, score_toxicity
 from statlake.llm.weighted_sampling import weighted_fingerprints
@@ -67,14 +68,34 @@ def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprints(read(spark, sf_dir, "documents"))
 
 
+@query
+def op8_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = format_preferences(pair_neighbours(read(spark, sf_dir, "conversations")))
+    return pairs.select(
+        "pair_id",
+        "chosen_id",
+        "rejected_id",
+        "n_common",
+        "prompt",
+        "chosen",
+        "rejected",
+        mask(F.col("chosen_segments")).alias("chosen_mask"),
+        mask(F.col("rejected_segments")).alias("rejected_mask"),
+    )
+
+
 def fold(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0)
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model = fit_toxicity(docs, read(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
+    model = fit_toxicity(docs, training_labels(spark, sf_dir))
     return score_toxicity(docs, model).select(
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages"
     )
@@ -154,3 +175,38 @@ SELECT doc_id, size, source_size, target,
     CAST((sure + CASE WHEN p IS NOT NULL AND 2 * so_far - size <= 2 * rest THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM o
 """
+
+
+_OPEN, _CLOSE, _END = ("'" + x.replace("\n", "' || chr(10) || '") + "'" for x in (HEAD_OPEN, HEAD_CLOSE, END))
+# turn by turn instead of by arrays
+ORACLE["op8_preferences"] = rf"""
+WITH t AS (
+    SELECT conv_id // 2 AS pair_id, conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), words AS (
+    SELECT pair_id, conv_id,
+        sum(CASE WHEN role = '{LEARNT}' THEN len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ELSE 0 END) AS n
+    FROM t GROUP BY ALL
+), best AS (
+    SELECT pair_id, first(conv_id ORDER BY n DESC, conv_id) AS chosen_id,
+        CASE WHEN count(*) > 1 THEN last(conv_id ORDER BY n DESC, conv_id) END AS rejected_id
+    FROM words GROUP BY pair_id
+), side AS (SELECT t.*, conv_id = chosen_id AS chosen FROM t JOIN best USING (pair_id)),
+shorter AS (
+    SELECT pair_id, least(count(*) FILTER (chosen), count(*) FILTER (NOT chosen)) AS n FROM side GROUP BY pair_id
+), differ AS (
+    SELECT c.pair_id, min(c.pos) AS pos FROM side c JOIN side r ON c.pair_id = r.pair_id AND c.pos = r.pos AND c.chosen AND NOT r.chosen
+    WHERE c.role <> r.role OR c.text <> r.text GROUP BY c.pair_id
+), common AS (SELECT pair_id, coalesce(differ.pos - 1, n) AS n FROM shorter LEFT JOIN differ USING (pair_id)),
+r AS (
+    SELECT side.*, pos <= n AS shared, {_OPEN} || role || {_CLOSE} AS head, text || {_END} AS body FROM side JOIN common USING (pair_id)
+)
+SELECT pair_id, chosen_id, rejected_id, CAST(n AS INTEGER) AS n_common,
+    coalesce(string_agg(head || body, '' ORDER BY pos) FILTER (shared AND chosen), '') AS prompt,
+    coalesce(string_agg(head || body, '' ORDER BY pos) FILTER (NOT shared AND chosen), '') AS chosen,
+    coalesce(string_agg(head || body, '' ORDER BY pos) FILTER (NOT shared AND NOT chosen), '') AS rejected,
+    coalesce(string_agg(concat(length(head), '- ', length(body), CASE WHEN role = '{LEARNT}' THEN '+' ELSE '-' END), ' ' ORDER BY pos) FILTER (NOT shared AND chosen), '') AS chosen_mask,
+    coalesce(string_agg(concat(length(head), '- ', length(body), CASE WHEN role = '{LEARNT}' THEN '+' ELSE '-' END), ' ' ORDER BY pos) FILTER (NOT shared AND NOT chosen), '') AS rejected_mask
+FROM r JOIN best USING (pair_id) JOIN common USING (pair_id) GROUP BY pair_id, chosen_id, rejected_id, n
+"""

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.common import materialize, ship, slices
@@ -154,6 +154,24 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return rows.mapInArrow(lambda it: _scored(it, model), _SCORED)
 
 
+def toxicity_score(docs: DataFrame, model: ToxicityModel) -> Column:
+    """The score of docs' own text as a column, for filters that keep whole rows where they are."""
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = _Scores(model)
+        for part in texts:
+            out = []
+            for text in part:
+                words = tokens(text)
+                found = segments(np.fromiter(map(known.__getitem__, words), float, len(words)))
+                out.append(model.probability(model.chance(max((s for _, _, s in found), default=0.0), len(words))))
+            yield pd.Series(out, dtype=float)
+
+    return score(F.col("text").cast("string"))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> ToxicityModel:
     """Fit a model on labels (doc_id, toxic 0/1) of docs (doc_id, text).
 
