@@ -18,8 +18,8 @@ BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
 #: An estimate from BINS coordinates has a deviation of 0.026 at 0.8; pairs below this are not verified.
 LEAST_ESTIMATE = 0.68
-#: Documents that are compared with one another by one Python call.
-BLOCK = 512
+#: Documents that are compared with one another by one Python call, and with one hub.
+BLOCK, STAR = 512, 256
 
 _LOW = np.uint64((1 << 48) - 1)
 _SEEDS = seeds(2 * BINS, 11)
@@ -67,30 +67,25 @@ def sketch(elements: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    salt = seeds(ROWS, 23) | np.uint64(1)
     for batch in slices(batches, "text"):
-        sizes, low, high, bands, signs = [], [], [], [], []
+        sizes, low, high, signs = [], [], [], []
         for own in shingle_sets(batch.column("text"), k):
             sizes.append(len(own))
             if not len(own):
-                low.append(0), high.append(0), bands.append([]), signs.append(b"")
+                low.append(0), high.append(0), signs.append(b"")
                 continue
             low.append(int(own.sum(dtype=np.uint64).view(np.int64)))
             high.append(int(mix(own).sum(dtype=np.uint64).view(np.int64)))
-            bins = mix(sketch(own))
-            keys = mix((bins.reshape(BANDS, ROWS) * salt).sum(axis=1, dtype=np.uint64) + seeds(BANDS, 31))
-            bands.append(keys.view(np.int64))
-            signs.append(bins.astype(np.uint8).tobytes())
+            signs.append(mix(sketch(own)).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").cast(pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.array(low, pa.int64()),
                 pa.array(high, pa.int64()),
-                pa.array(bands, pa.list_(pa.int64())),
                 pa.array(signs, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "low", "high", "bands", "sign"],
+            names=["doc_id", "n_shingles", "low", "high", "sign"],
         )
 
 
@@ -103,16 +98,24 @@ def _likely(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array((x == y).mean(axis=1) >= LEAST_ESTIMATE)).select(["a", "b"])
 
 
-def _verified(batches: Iterable[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices([whole], "text_a"):
-            keep = []
-            for x, y in zip(
-                shingle_sets(batch.column("text_a"), k), shingle_sets(batch.column("text_b"), k), strict=True
-            ):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+def _sets(texts: pd.Series, k: int) -> list[np.ndarray]:
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
+    return [own for part in slices([batch], "text") for own in shingle_sets(part.column("text"), k)]
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _verified(star: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
+    """The links of a hub, on full sets, among some of the documents that are compared with it."""
+    hub = int(star["hub"].iloc[0])
+    star = star.drop_duplicates(["doc", "text"])
+    docs, sets = star["doc"].to_numpy(), _sets(star["text"], k)
+    own = [s for d, s in zip(docs, sets, strict=True) if d == hub]
+    out = {d for d, s in zip(docs, sets, strict=True) if d != hub and any(_alike(s, x, percent) for x in own)}
+    return pd.DataFrame({"a": sorted(out), "b": hub}, dtype="int64")
 
 
 class _Union:
@@ -155,7 +158,7 @@ def _kin(bucket: pd.DataFrame) -> pd.DataFrame:
 def _cross(rows: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
     """Verified links from a block of queries to a block of their cluster, enough to join components."""
     signs, comps, docs = _signs(rows), rows["comp"].to_numpy(), rows["doc"].to_numpy()
-    sets = [own for x in slices([pa.RecordBatch.from_pandas(rows[["text"]], preserve_index=False)], "text") for own in shingle_sets(x.column("text"), k)]
+    sets = _sets(rows["text"], k)
     asks = rows["ask"].to_numpy()
     data = np.flatnonzero(~asks)
     seen, out = _Union(), []
@@ -164,8 +167,7 @@ def _cross(rows: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
         for y in data[np.argsort(-close, kind="stable")][: int((close >= LEAST_ESTIMATE).sum())]:
             if seen.find(comps[x]) == seen.find(comps[y]):
                 continue
-            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-            if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+            if _alike(sets[x], sets[y], percent):
                 seen.join(comps[x], comps[y])
                 out.append((max(docs[x], docs[y]), min(docs[x], docs[y])))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -178,9 +180,13 @@ def _close(pairs: DataFrame, signs: DataFrame) -> DataFrame:
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.mapInArrow(lambda it: _verified(it, k, percent), "a long, b long")
+    """Links among pairs (a, b): b's text meets the texts of at most about STAR of its partners at once."""
+    hubs = pairs.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count("*") / STAR).cast("long").alias("parts"))
+    wanted = pairs.withColumnRenamed("b", "hub").join(hubs, "hub")
+    wanted = wanted.select("hub", F.col("a").alias("doc"), F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"))
+    own = hubs.select("hub", F.col("hub").alias("doc"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    rows = wanted.unionByName(own).join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc")
+    return rows.groupBy("hub", "part").applyInPandas(lambda star: _verified(star, k, percent), "a long, b long")
 
 
 def _across(kept: DataFrame, crowded: DataFrame, first: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -244,7 +250,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     own = materialize(
         texts.mapInArrow(
             lambda it: _sketches(it, k),
-            "doc_id long, n_shingles long, low long, high long, bands array<long>, sign binary",
+            "doc_id long, n_shingles long, low long, high long, sign binary",
         )
     )
     nodes = own.filter("doc_id is not null and n_shingles > 0")
@@ -254,15 +260,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = sets.select(F.col("doc").alias("doc_id"), "low", "high", "n_shingles")
     kept = materialize(
         own.join(reps, ["doc_id", "low", "high", "n_shingles"]).dropDuplicates(["doc_id", "low", "high", "n_shingles"])
-        .select(F.col("doc_id").alias("doc"), "bands", "sign")
+        .select(F.col("doc_id").alias("doc"), "sign")
     )
-    signs = kept.select("doc", "sign")
-    entries = kept.select("doc", F.explode("bands").alias("key"))
+    # a band's key is a hash of its rows' bytes of the sketch
+    key = lambda band: F.xxhash64(band, F.substring("sign", band * ROWS + 1, F.lit(ROWS)))
+    entries = kept.select("doc", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), key)).alias("key"))
     buckets = entries.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi")
     crowded = materialize(entries.join(buckets, "key"))
-    stars = crowded.select(F.col("doc").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).filter("a <> b")
-    stars = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    found = materialize(_confirm(_close(stars, signs), texts, k, percent))
+    hubs = F.when(F.col("doc") < F.col("hi"), F.array("lo", "hi")).otherwise(F.array("lo"))
+    stars = crowded.filter("doc > lo").select(F.col("doc").alias("a"), F.explode(hubs).alias("b")).distinct()
+    found = materialize(_confirm(materialize(_close(stars, kept)), texts, k, percent))
     # two rounds leave few labels; what they leave apart is joined at the end
     merged = contract(found, rounds=2)
     more = _across(kept, crowded, labels(merged), texts, k, percent)
