@@ -42,13 +42,13 @@ def _overlaps(rows: DataFrame) -> DataFrame:
     """Of aligned word lists (mine, theirs) those with a window of enough equal words."""
     same = F.zip_with("mine", "theirs", lambda x, y: (x == y).cast("int"))
     rows = rows.withColumn("_same", same).withColumn("_wide", F.least(F.lit(WINDOW), F.size("words")))
-    rows = rows.filter(F.size("_same") >= F.col("_wide"))
     # an item shorter than a window must agree in all its words
     least = F.when(F.col("_wide") < WINDOW, F.col("_wide")).otherwise(F.lit(LEAST))
     count = lambda i: F.aggregate(F.slice(F.col("_same"), i, F.col("_wide")), F.lit(0), lambda s, x: s + x)
-    counts = F.transform(F.sequence(F.lit(1), F.size("_same") - F.col("_wide") + 1), count)
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    counts = F.transform(upto(F.size("_same") - F.col("_wide") + 1), count)
     rows = rows.withColumn("_counts", counts).withColumn("_least", least)
-    rows = rows.withColumn("_good", F.filter(F.sequence(F.lit(1), F.size("_counts")), lambda i: F.get(F.col("_counts"), i - 1) >= F.col("_least")))
+    rows = rows.withColumn("_good", F.filter(upto(F.size("_counts")), lambda i: F.get(F.col("_counts"), i - 1) >= F.col("_least")))
     rows = rows.filter(F.size("_good") > 0)
     first, last = F.get("_good", F.lit(0)), F.element_at("_good", -1)
     return rows.select(

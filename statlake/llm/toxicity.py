@@ -117,7 +117,8 @@ def _counted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts[int(toxic)].update({f for t in set(tokens(text)) for f in features(t)})
             if len(counts[0]) + len(counts[1]) > _CACHE:
                 yield out()
-    yield out()
+    if counts[0] or counts[1]:
+        yield out()
 
 
 def _scored(batches: Iterable[pa.RecordBatch], model: ToxicityModel) -> Iterator[pa.RecordBatch]:

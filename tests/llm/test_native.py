@@ -1,0 +1,224 @@
+"""Mixing, shards, decontamination and preferences: laws, odd rows, and brute force."""
+
+import collections
+import itertools
+import random
+import zlib
+
+import pytest
+from llm.conftest import ODD
+from llm.test_near_dedup import words
+
+from statlake.llm import decontaminate, kd_shards as kd
+from statlake.llm.decontaminate import LEAST, MASKS, SPAN, WINDOW, benchmark_overlaps, contaminated
+from statlake.llm.mixing import mix_decisions, mix_sources
+from statlake.llm.preferences import END, format_preferences, mask, pair_neighbours
+
+NATIVE_PLAN = ("Python", "Pandas", "Arrow", "CartesianProduct")
+
+
+def plain(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return not any(x in plan for x in NATIVE_PLAN)
+
+
+def prose(rng, n):
+    return " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(30)) for _ in range(n))
+
+
+# mixing
+
+
+def filled(sizes, weights, cap):
+    """Targets by steps: those above their cap are fixed there and the rest is shared again."""
+    left, target, open_ = float(sum(sizes.values())), {}, set(sizes)
+    while open_:
+        rate = left / sum(weights[s] for s in open_)
+        over = {s for s in open_ if rate * weights[s] > cap * sizes[s]}
+        if not over:
+            return target | {s: rate * weights[s] for s in open_}
+        for s in over:
+            target[s] = cap * sizes[s]
+            left -= target[s]
+        open_ -= over
+    return target
+
+
+def test_mix_reaches_targets_and_reruns_agree(documents):
+    rng = random.Random(2)
+    rows = [(i, prose(rng, rng.choice([1, 5, 30, 90])), rng.choice(["a", "b", "b", "b", "c", "d", None])) for i in range(3000)]
+    rows += [(9000, prose(rng, 20), "tiny"), (9001, "", "none"), (9002, None, "none")]
+    docs = documents(rows)
+    found = mix_decisions(docs).collect()
+    assert plain(mix_decisions(docs))
+    assert len(found) == len(rows)
+    sizes, taken, target = collections.Counter(), collections.Counter(), {}
+    for r in found:
+        assert r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 3
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    order = [s for s in sorted(x for x in sizes if x is not None)] + [None]
+    wanted = filled(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}, 3)
+    assert target == pytest.approx(wanted)
+    assert all(abs(taken[s] - target[s]) <= 45 + 1e-6 for s in order)
+    assert sorted(map(str, found)) == sorted(map(str, mix_decisions(docs.repartition(5)).collect()))
+
+
+def test_mix_keeps_columns_and_odd_rows(documents):
+    docs = documents(ODD)
+    found = mix_sources(docs)
+    assert set(docs.columns) <= set(found.columns)
+    rows = found.collect()
+    assert len(rows) == len(ODD)
+    assert {r["size"] for r in rows if r["doc_id"] in (1, 2, 3)} == {0}
+    assert mix_sources(documents([])).collect() == []
+    assert mix_sources(documents([(1, None), (2, " ")])).selectExpr("sum(taken)").first()[0] == 0
+
+
+# shards
+
+
+def test_shards_are_even_gapless_and_keep_small_groups(documents):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, rng.randint(1, 60))) for i in range(4000)]
+    rows += [(10_000 + i, rows[i // 3][1]) for i in range(300)] + [(20_000 + i, "hot copy " * 9) for i in range(1500)]
+    rng.shuffle(rows)
+    made = kd.kd_shards(documents(rows), 40)
+    assert plain(made)
+    found = made.collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(r[0] for r in rows)
+    shard_bytes, slots, homes = collections.Counter(), collections.defaultdict(set), collections.defaultdict(set)
+    text = dict(rows)
+    for r in found:
+        data = text[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 16, zlib.crc32(data), "bytes", None)
+        shard_bytes[r["shard"]] += r["size"]
+        slots[r["shard"]].add(r["slot"])
+        homes[data].add(r["shard"])
+    mean = sum(shard_bytes.values()) / 40
+    assert set(shard_bytes) == set(range(40))
+    assert max(abs(b - mean) for b in shard_bytes.values()) < 0.12 * mean
+    assert all(s == set(range(len(s))) for s in slots.values())
+    assert sum(len(s) for s in slots.values()) == len(rows)
+    assert [len(h) for d, h in homes.items() if len(h) > 1 and not d.startswith(b"hot")] == []
+
+
+def test_slots_by_blocks(documents, monkeypatch):
+    monkeypatch.setattr(kd, "BLOCK_ROWS", 5)
+    found = kd.kd_shards(documents([(i, "x" * (i % 7)) for i in range(200)]), 3).collect()
+    for shard in range(3):
+        own = sorted(r["slot"] for r in found if r["shard"] == shard)
+        assert own == list(range(len(own)))
+
+
+def test_shards_of_odd_rows(documents):
+    found = kd.kd_shards(documents(ODD), 4).collect()
+    assert len(found) == len(ODD)
+    assert {r["size"] for r in found if r["doc_id"] in (1, 2)} == {16}
+    assert kd.kd_shards(documents([]), 4).collect() == []
+    assert [r["shard"] for r in kd.kd_shards(documents([(1, "a")]), 40).collect()][0] in range(40)
+
+
+# decontamination
+
+
+def overlaps(docs, items):
+    """Pairs (doc_id, item_id) by a comparison of every alignment."""
+    out = set()
+    for doc_id, text in docs:
+        mine = words(text)
+        for item_id, item in items:
+            theirs = words(item)
+            wide, least = (WINDOW, LEAST) if len(theirs) >= WINDOW else (len(theirs), len(theirs))
+            if len(theirs) < SPAN:
+                continue
+            for line in range(-len(theirs), len(mine)):
+                same = [line + i >= 0 and line + i < len(mine) and mine[line + i] == theirs[i] for i in range(len(theirs))]
+                if any(sum(same[i : i + wide]) >= least and 0 <= line + i and line + i + wide <= len(mine) for i in range(len(same) - wide + 1)):
+                    out.add((doc_id, item_id))
+                    break
+    return out
+
+
+def leaky(seed):
+    rng = random.Random(seed)
+    items = [(i, prose(rng, n)) for i, n in enumerate([5, 9, 11, 13, 20, 40, 40])]
+    items.append((7, items[5][1]))
+    docs = []
+    for d in range(120):
+        text = prose(rng, rng.randint(0, 60)).split()
+        if d % 3:
+            own = items[rng.randrange(7)][1].split()
+            start = rng.randrange(max(1, len(own) - 13))
+            own = own[start : start + rng.choice([9, 13, 14, 20, 40])]
+            for _ in range(rng.randint(0, 4)):
+                own[rng.randrange(len(own))] = "changed"
+            at = rng.randint(0, len(text))
+            text[at:at] = own
+        docs.append((d, " ".join(text).upper() if d % 2 else "\n".join(text)))
+    return docs, items
+
+
+@pytest.mark.parametrize("block_words", [500_000, 40])
+def test_overlaps_equal_every_alignment(spark, documents, monkeypatch, block_words):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
+    docs, items = leaky(4)
+    found = benchmark_overlaps(documents(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert plain(found)
+    wanted = overlaps(docs, [x for x in items if x[0] != 7])
+    rows = found.collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == wanted and len(wanted) > 20
+    text = {d: words(t) for d, t in docs}
+    for r in rows:
+        assert r["start"] + r["words"] <= len(text[r["doc_id"]]) and r["matches"] <= r["words"]
+
+
+def test_no_window_escapes_the_masks():
+    for changed in itertools.combinations(range(WINDOW), WINDOW - LEAST):
+        assert any(all(at + o not in changed for o in m) for m in MASKS for at in range(WINDOW - SPAN + 1))
+
+
+def test_contaminated_odd_rows(spark, documents):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
+    items = spark.createDataFrame([(None, item), (3, None), (4, ""), (5, "short item")], "item_id long, text string")
+    rows = [*ODD, (50, f"so {item.upper()} and"), (50, f"so {item.upper()} and"), (50, "other"), (None, item), (51, item[:-3])]
+    found = contaminated(documents(rows), items).collect()
+    assert len(found) == len(rows)
+    assert {r["doc_id"] for r in found if r["contaminated"]} == {50}  # 51 has no whole window
+    assert {r["first_item_id"] for r in found if r["contaminated"]} == {-1}
+    assert contaminated(documents([]), items).collect() == []
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert not any(r["contaminated"] for r in contaminated(documents(rows), none).collect())
+
+
+# preferences
+
+TURNS = "conv_id long, turn long, role string, text string, pair_id string, chosen string"
+
+
+def test_common_prefix_is_rendered_once(spark):
+    rows = [
+        (0, 0, "user", "q"), (0, 1, "assistant", "a"), (0, 2, "user", "more"), (0, 3, "assistant", "short"),
+        (1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (1, 3, "assistant", "a longer one"), (1, 4, "user", "ok"),
+        (2, 0, "user", "same"), (3, 0, "user", "same"),
+        (4, 0, "user", "alone"), (4, None, None, None), (None, 0, "user", "nobody"),
+        (7, 0, "user", "x"), (6, 0, "user", "x"), (6, 0, "user", "x"),
+    ]
+    turns = spark.createDataFrame([(*r, "p", "c") for r in rows], TURNS)
+    made = format_preferences(pair_neighbours(turns))
+    assert plain(made)
+    found = {r["pair_id"]: r for r in made.collect()}
+    assert sorted(found) == [0, 1, 2, 3]
+    first = found[0]
+    assert (first["chosen_id"], first["rejected_id"], first["n_common"]) == (1, 0, 3)
+    assert first["prompt"] == f"<|user|>\nq{END}<|assistant|>\na{END}<|user|>\nmore{END}"
+    assert first["rejected"] == f"<|assistant|>\nshort{END}"
+    assert [s["text"] for s in first["chosen_segments"] if s["learnt"]] == [f"a longer one{END}"]
+    assert "".join(s["text"] for s in first["chosen_segments"]) == first["chosen"]
+    assert made.select(mask(made.rejected_segments).alias("m"), "pair_id").filter("pair_id = 0").first()["m"] == f"14- {5 + len(END)}+"
+    assert (found[1]["n_common"], found[1]["chosen"], found[1]["rejected"]) == (1, "", "")
+    assert (found[2]["rejected_id"], found[2]["n_common"], found[2]["prompt"], found[2]["rejected"]) == (None, 0, "", "")
+    assert found[2]["chosen"] == f"<||>\n{END}<|user|>\nalone{END}"
+    assert (found[3]["chosen_id"], found[3]["n_common"], found[3]["chosen"]) == (6, 1, f"<|user|>\nx{END}")
+    assert format_preferences(pair_neighbours(turns.limit(0))).collect() == []
