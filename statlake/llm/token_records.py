@@ -11,6 +11,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +25,16 @@ from statlake.llm.ordered import block_of, id_bounds, order_key
 
 #: The id after each document.
 END = 0
-#: Words whose ids a worker keeps at most.
-CACHE = 600_000
+#: Words whose ids a worker keeps, about at most (some 200 bytes each).
+CACHE = 1_500_000
 #: Stands for a null doc_id in a payload.
 NO_ID = -(1 << 63)
 
 _LANE = 512
 _JOINED = 1000
 #: A space next to other white space: there the words' ids depend on each other.
-_ODD = re.compile(r" \s|\s |^ | $")
+_ODD = re.compile(r" \s|\s ")
+_ODD_ASCII = tuple(x for c in " \t\n\x0b\f\r\x1c\x1d\x1e\x1f" for x in (f" {c}", f"{c} "))
 
 
 def _tables(n: int) -> np.ndarray:
@@ -82,6 +84,24 @@ def masked(crc: np.ndarray) -> np.ndarray:
     return ((crc >> np.uint32(15)) | (crc << np.uint32(17))) + np.uint32(0xA282EAD8)
 
 
+def _odd(text: str) -> bool:
+    if text[:1] == " " or text[-1:] == " ":
+        return True
+    return any(x in text for x in _ODD_ASCII) if text.isascii() else bool(_ODD.search(text))
+
+
+class _Numbers(dict):
+    """Numbers words as they are asked for; new ones wait in a list."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """Encodes as the tokenizer does, each word once: words do not depend on each other across a space."""
 
@@ -89,38 +109,52 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        joined = [words[i : i + _JOINED] for i in range(0, len(words), _JOINED)]
-        texts = [" " + " ".join(group) for group in joined]
-        for group, done in zip(joined, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            starts = np.cumsum([0, *(len(w) + 1 for w in group)])
-            edges = np.searchsorted(np.fromiter((a for a, _ in done.offsets), np.int64, len(done.ids)), starts).tolist()
-            data, size = self._bytes(done.ids), self.kind.itemsize
-            for word, a, b in zip(group, edges, edges[1:], strict=False):
-                self.words[word] = data[a * size : b * size]
+        size = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self.begins = np.array([(self.tokenizer.id_to_token(i) or "").startswith(space) for i in range(size)])
+        self._clear()
+
+    def _clear(self) -> None:
+        self.numbers = _Numbers()
+        self.pool = np.zeros(1 << 16, self.kind)
+        self.edges = np.zeros(1, np.int64)
+
+    def _learn(self) -> None:
+        """Ids of the new words, which are joined by spaces: the ids that begin with one begin a word."""
+        new, self.numbers.new = self.numbers.new, []
+        texts = [" " + " ".join(new[i : i + _JOINED]) for i in range(0, len(new), _JOINED)]
+        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, self.kind) for x in done])
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(new):
+            raise ValueError("the tokenizer does not cut its input at spaces")
+        used = int(self.edges[-1])
+        if used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool[:used], np.zeros(used + 2 * len(ids), self.kind)])
+        self.pool[used : used + len(ids)] = ids
+        self.edges = np.concatenate([self.edges[:-1], used + starts, [used + len(ids)]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else t.split(" ") for t in texts]
-        if len(self.words) > CACHE:
-            self.words.clear()
-        missing: set[str] = set()
-        for pieces in split:
-            if pieces:
-                missing.update(pieces[1:])
-        missing.difference_update(self.words)
-        self._learn(sorted(missing))
-        direct = [t if s is None else s[0] for t, s in zip(texts, split, strict=True)]
-        heads = self.tokenizer.encode_batch(direct, add_special_tokens=False)
-        known = self.words.__getitem__
+        if len(self.numbers) > CACHE:
+            self._clear()
+        split = [None if _odd(t) else t.split(" ") for t in texts]
+        heads = self.tokenizer.encode_batch_fast(
+            [t if s is None else s[0] for t, s in zip(texts, split, strict=True)], add_special_tokens=False
+        )
+        counts = np.array([len(s) - 1 if s else 0 for s in split])
+        rest = chain.from_iterable(islice(s, 1, None) for s in split if s)
+        words = np.fromiter(map(self.numbers.__getitem__, rest), np.int64, int(counts.sum()))
+        if self.numbers.new:
+            self._learn()
+        lengths = (self.edges[1:] - self.edges[:-1])[words]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.edges[words] - (ends - lengths), lengths) + np.arange(int(lengths.sum()))
+        ids = self.pool[at]
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
         return [
-            self._bytes(head.ids) + (b"".join(map(known, pieces[1:])) if pieces else b"")
-            for head, pieces in zip(heads, split, strict=True)
+            np.array(head.ids, self.kind).tobytes() + ids[a:b].tobytes()
+            for head, a, b in zip(heads, cuts, cuts[1:], strict=False)
         ]
 
 
