@@ -24,8 +24,8 @@ ENTRY_BITS, PROBES = 10, 5
 RATIO, LEAST_COUNT = 1.5, 2
 #: Weight of the unigram distribution against a context's count.
 PRIOR = 300.0
-#: Bigram occurrences that one task counts, about.
-SEGMENT_ROWS = 3_000_000
+#: Tokens whose bigrams, and tokens whose words, make one segment of the hash space, about.
+BIGRAM_TOKENS, WORD_TOKENS = 4_000_000, 10_000_000
 
 _END = seeds(1, 41)[0]
 _K = seeds(2, 43) | np.uint64(1)
@@ -94,19 +94,61 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _CHUNK = "chunk long, ids array<long>, train array<boolean>, lengths array<long>, codes binary, names binary, counts binary"
 
 
-def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_segment(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by (segment, hash), and where each segment begins in it."""
+    home = hashes % np.uint64(segments)
+    order = np.lexsort((hashes, home))
+    return order, np.searchsorted(home[order], np.arange(segments + 1, dtype=np.uint64))
+
+
+def _rows(chunk: int, first: np.ndarray, second: np.ndarray, edges: np.ndarray, pack) -> pa.RecordBatch:
+    full = np.flatnonzero(np.diff(edges))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(full.astype(np.int32)),
+            pa.array(np.full(len(full), chunk, np.int64)),
+            pa.array([pack(first[edges[i] : edges[i + 1]]) for i in full], pa.binary()),
+            pa.array([_planes(second[edges[i] : edges[i + 1]]) for i in full], pa.binary()),
+        ],
+        names=["segment", "chunk", "names", "counts"],
+    )
+
+
+_ROWS = "segment int, chunk long, names binary, counts binary"
+
+
+def _entries(batches: Iterable[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """For each chunk and segment the chunk's words there and how often training has them in it."""
     for batch in batches:
         for chunk, names, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk", "names", "counts")), strict=True):
-            names = np.frombuffer(names, "<i8")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(names), chunk, np.int64)),
-                    pa.array(np.arange(len(names), dtype=np.int32)),
-                    pa.array(names),
-                    pa.array(np.frombuffer(counts, "<u4").astype(np.int64)),
-                ],
-                names=["chunk", "code", "name", "n"],
-            )
+            names = np.frombuffer(names, "<u8")
+            order, edges = _by_segment(names, segments)
+            yield _rows(chunk, names[order], np.frombuffer(counts, "<u4")[order], edges, lambda x: x.tobytes())
+
+
+def _unigrams(rows: pa.Table) -> pa.Table:
+    """The training counts of a segment's words, sent back to each chunk in the order they came in."""
+    names = [np.frombuffer(x, "<u8") for x in rows.column("names").to_pylist()]
+    counts = np.concatenate([_codes(x) for x in rows.column("counts").to_pylist()])
+    words, place = np.unique(np.concatenate(names), return_inverse=True)
+    sums = np.bincount(place, weights=counts, minlength=len(words)).astype(np.int64)
+    cuts = np.cumsum([0, *map(len, names)])
+    once = np.zeros((2, rows.num_rows), np.int64)
+    once[:, 0] = sums.sum(), np.count_nonzero(sums)
+    back = sums[place].astype("<u8").view("<u4").reshape(-1, 2)
+    return pa.table(
+        {
+            "chunk": rows.column("chunk"),
+            "segment": rows.column("segment"),
+            "low": pa.array([_planes(np.ascontiguousarray(back[a:b, 0])) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+            "high": pa.array([_planes(np.ascontiguousarray(back[a:b, 1])) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+            "total": once[0],
+            "distinct": once[1],
+        }
+    )
+
+
+_KNOWN = "chunk long, segment int, low binary, high binary, total long, distinct long"
 
 
 def _bigrams(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -117,57 +159,63 @@ def _bigrams(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return mix(before * _K[0] + tokens * _K[1])
 
 
-def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each chunk its training bigrams, 56 bits of hash and 8 of count; larger counts take more rows."""
+def _within(hashes: np.ndarray, segments: int) -> np.ndarray:
+    """A hash within its segment: 32 bits, as segments hold few million bigrams at any size of the corpus."""
+    return ((hashes // np.uint64(segments)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _counted(batches: Iterable[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """For each chunk and segment its training bigrams, as differences of sorted hashes, and counts."""
     for batch in batches:
-        for train, lengths, codes, names in zip(*(batch.column(c).to_pylist() for c in ("train", "lengths", "codes", "names")), strict=True):
+        for chunk, train, lengths, codes, names in zip(
+            *(batch.column(c).to_pylist() for c in ("chunk", "train", "lengths", "codes", "names")), strict=True
+        ):
             n = np.array(lengths)
             own = np.repeat(np.array(train, bool), n)
             if not own.any():
                 continue
             tokens = np.frombuffer(names, "<u8")[_codes(codes)][own]
-            found, counts = np.unique(_bigrams(tokens, n[np.array(train, bool)]) >> np.uint64(8), return_counts=True)
-            full = counts // 255
-            rows = np.concatenate([np.repeat(found, full) << np.uint64(8) | np.uint64(255), (found << np.uint64(8) | (counts % 255).astype(np.uint64))[counts % 255 > 0]])
-            yield pa.RecordBatch.from_arrays([pa.array(rows.view(np.int64))], names=["packed"])
+            found, counts = np.unique(_bigrams(tokens, n[np.array(train, bool)]), return_counts=True)
+            home, part = found % np.uint64(segments), _within(found, segments)
+            order = np.lexsort((part, home))
+            edges = np.searchsorted(home[order], np.arange(segments + 1, dtype=np.uint64))
+            yield _rows(chunk, part[order], counts[order].astype(np.uint32), edges, lambda x: _planes(np.diff(x, prepend=np.uint32(0))))
 
 
 def _level(counts: np.ndarray) -> np.ndarray:
     return np.minimum(len(_LEVEL), 1 + np.floor(np.log(counts / LEAST_COUNT) / math.log(RATIO) + 1e-9)).astype(np.int64)
 
 
-def _places(hashes: np.ndarray, level: np.ndarray, probe: int, bits: np.ndarray | int) -> np.ndarray:
-    return (mix(hashes ^ _LEVEL[level - 1] ^ _PROBE[probe]) % np.asarray(bits, np.uint64)).astype(np.int64)
-
-
-def _segments(batches: Iterable[pa.RecordBatch], segments: int, most: int) -> Iterator[pa.RecordBatch]:
-    """The filter's segments whose bigrams this task has: bits, and the least count that has entries."""
-    parts = [np.zeros(0, np.uint64), *(np.asarray(b.column("packed")).view(np.uint64) for b in batches)]
-    packed = np.sort(np.concatenate(parts))
-    edges = np.flatnonzero(np.append(True, packed[1:] >> np.uint64(8) != packed[:-1] >> np.uint64(8))) if len(packed) else np.zeros(0, int)
-    if not len(edges):
-        return
-    hashes = packed[edges] >> np.uint64(8)
-    counts = np.add.reduceat(packed & np.uint64(255), edges).astype(np.int64)
-    home = hashes % np.uint64(segments)
-    for segment in np.unique(home).tolist():
-        least = LEAST_COUNT
-        own, n = hashes[home == segment], counts[home == segment]
-        own, n = own[n >= least], n[n >= least]
-        levels = _level(n)
-        while levels.sum() * ENTRY_BITS > most:
-            least = int(n.min()) + 1
-            own, levels, n = own[n >= least], levels[n >= least], n[n >= least]
-        size = max(64, int(levels.sum()) * ENTRY_BITS)
-        bits = np.zeros(size, bool)
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            deep = own[levels >= level]
-            for probe in range(PROBES):
-                bits[_places(deep, np.int64(level), probe, size)] = True
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([segment], pa.int32()), pa.array([size], pa.int64()), pa.array([least], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())],
-            names=["segment", "size", "least", "bits"],
-        )
+def _places(parts: np.ndarray, level: int, probe: int, bits: np.ndarray | int) -> np.ndarray:
+    return (mix(parts.astype(np.uint64) ^ _LEVEL[level - 1] ^ _PROBE[probe]) % np.asarray(bits, np.uint64)).astype(np.int64)
+
+
+def _segment(rows: pa.Table, most: int) -> pa.Table:
+    """A segment of the filter: its size in bits, the least count that has entries, and the bits."""
+    parts = np.concatenate([np.cumsum(_codes(x), dtype=np.uint32) for x in rows.column("names").to_pylist()])
+    each = np.concatenate([_codes(x) for x in rows.column("counts").to_pylist()])
+    own, place = np.unique(parts, return_inverse=True)
+    n = np.bincount(place, weights=each).astype(np.int64)
+    least = LEAST_COUNT
+    own, n = own[n >= least], n[n >= least]
+    levels = _level(n)
+    while levels.sum() * ENTRY_BITS > most:
+        least = int(n.min()) + 1
+        own, levels, n = own[n >= least], levels[n >= least], n[n >= least]
+    size = max(64, int(levels.sum()) * ENTRY_BITS)
+    bits = np.zeros(size, bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        deep = own[levels >= level]
+        for probe in range(PROBES):
+            bits[_places(deep, level, probe, size)] = True
+    return pa.table(
+        {
+            "segment": rows.column("segment").slice(0, 1),
+            "size": pa.array([size], pa.int64()),
+            "least": pa.array([least], pa.int64()),
+            "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()),
+        }
+    )
 
 
 @dataclass
@@ -180,11 +228,12 @@ class BigramFilter:
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(hashes))
-        home = (hashes % np.uint64(len(self.sizes))).astype(np.int64)
+        segments = len(self.sizes)
+        home, parts = (hashes % np.uint64(segments)).astype(np.int64), _within(hashes, segments)
         left = np.flatnonzero(self.sizes[home] > 0)
         for level in range(1, len(_LEVEL) + 1):
             for probe in range(PROBES):
-                at = self.starts[home[left]] * 8 + _places(hashes[left], np.int64(level), probe, self.sizes[home[left]])
+                at = self.starts[home[left]] * 8 + _places(parts[left], level, probe, self.sizes[home[left]])
                 left = left[(self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
             if not len(left):
                 break
@@ -192,12 +241,11 @@ class BigramFilter:
         return out
 
 
-def _score(chunk: pa.Table, known: pa.Table, total: int, distinct: int, filter_: BigramFilter) -> pa.Table:
-    rows = known.num_rows
-    counts, names = np.zeros(rows), np.zeros(rows, np.uint64)
-    code = known.column("code").to_numpy()
-    counts[code] = known.column("c").to_numpy()
-    names[code] = known.column("name").to_numpy().view(np.uint64)
+def _score(chunk: pa.Table, known: pa.Table, segments: int, total: int, distinct: int, filter_: BigramFilter) -> pa.Table:
+    names = np.frombuffer(chunk.column("names")[0].as_py(), "<u8")
+    counts = np.empty(len(names))
+    back = sorted(zip(*(known.column(c).to_pylist() for c in ("segment", "low", "high")), strict=True))
+    counts[_by_segment(names, segments)[0]] = np.concatenate([_codes(a) + _codes(b) * 2.0**32 for _, a, b in back])
     codes, n = _codes(chunk.column("codes")[0].as_py()), chunk.column("lengths")[0].values.to_numpy()
     c = counts[codes]
     base = (c + 0.5) / (total + 0.5 * (distinct + 1))
@@ -207,7 +255,7 @@ def _score(chunk: pa.Table, known: pa.Table, total: int, distinct: int, filter_:
     context[1:] = c[:-1]
     ends = np.flatnonzero(names == _END)
     context[begins] = counts[ends[0]]
-    seen = np.minimum(filter_.counts(_bigrams(tokens, n) >> np.uint64(8)), np.minimum(c, context))
+    seen = np.minimum(filter_.counts(_bigrams(tokens, n)), np.minimum(c, context))
     score = (seen + PRIOR * base) / (context + PRIOR)
     return pa.table(
         {
@@ -239,7 +287,7 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
     and without training rows every count is 0. Other columns are ignored.
 
     Texts are read once and kept as chunks of codes with a dictionary each; unigram counts go to
-    chunks by a join on (chunk, word), so no vocabulary is ever broadcast.
+    and from chunks by segments of the hash space, so no vocabulary is ever broadcast.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -249,21 +297,19 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
         F.coalesce(train, F.lit(False)).alias("train"),
     )
     chunks = materialize(rows.mapInArrow(_chunks, _CHUNK))
-    entries = chunks.select("chunk", "names", "counts").mapInArrow(_entries, "chunk long, code int, name long, n long")
-    unigrams = entries.filter("n > 0").groupBy("name").agg(F.sum("n").alias("c"))
-    known = entries.join(unigrams, "name", "left").select("chunk", "code", "name", F.coalesce("c", F.lit(0)).alias("c"))
-    total, tokens = chunks.agg(
-        F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x)), F.count("*")
-    ).first()
+    tokens = chunks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0]
     if not tokens:
         return spark.createDataFrame([], _SCORES)
-    sums = unigrams.agg(F.sum("c"), F.count("*")).first()
-    total_train, distinct = int(sums[0] or 0), int(sums[1])
-    segments = max(8, -(-total // SEGMENT_ROWS))
-    packed = chunks.select("train", "lengths", "codes", "names").mapInArrow(_counted, "packed long")
-    packed = packed.repartition(segments, F.pmod(F.shiftrightunsigned("packed", 8), F.lit(segments)))
+    words = max(8, -(-tokens // WORD_TOKENS))
+    entries = chunks.select("chunk", "names", "counts").mapInArrow(lambda it: _entries(it, words), _ROWS)
+    known = materialize(entries.groupBy("segment").applyInArrow(_unigrams, _KNOWN))
+    total, distinct = known.agg(F.sum("total"), F.sum("distinct")).first()
+    segments = max(8, -(-tokens // BIGRAM_TOKENS))
+    counted = chunks.select("chunk", "train", "lengths", "codes", "names").mapInArrow(lambda it: _counted(it, segments), _ROWS)
     most = FILTER_BYTES * 8 // segments
-    made = packed.mapInArrow(lambda it: _segments(it, segments, most), "segment int, size long, least long, bits binary")
+    made = counted.drop("chunk").groupBy("segment").applyInArrow(
+        lambda rows: _segment(rows, most), "segment int, size long, least long, bits binary"
+    )
     # at most FILTER_BYTES, whatever the corpus
     found = sorted(made.collect(), key=lambda r: r["segment"])
     sizes, starts, at = np.zeros(segments, np.int64), np.zeros(segments, np.int64), 0
@@ -275,7 +321,8 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
 
     def score(chunk: pa.Table, known: pa.Table) -> pa.Table:
         a, b, bits = shared.value
-        return _score(chunk, known, total_train, distinct, BigramFilter(a, b, np.frombuffer(bits, np.uint8)))
+        return _score(chunk, known, words, total, distinct, BigramFilter(a, b, np.frombuffer(bits, np.uint8)))
 
-    own = chunks.select("chunk", "ids", "train", "lengths", "codes")
-    return own.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, _SCORES)
+    own = chunks.select("chunk", "ids", "train", "lengths", "codes", "names")
+    back = known.select("chunk", "segment", "low", "high")
+    return own.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(score, _SCORES)

@@ -147,9 +147,13 @@ def test_counts_come_back_from_the_filter():
     counts = rng.choice([1, 2, 3, 10, 200], len(hashes)).astype(np.uint64)
     import pyarrow as pa
 
-    packed = pa.RecordBatch.from_arrays([pa.array((hashes << np.uint64(8) | counts).view(np.int64))], names=["packed"])
-    made = list(ngram_filter._segments([packed], 4, 1 << 30))
-    rows = sorted((b.to_pylist()[0] for b in made), key=lambda r: r["segment"])
+    home, part = hashes % np.uint64(4), ngram_filter._within(hashes, 4)
+    rows = []
+    for segment in range(4):
+        own = np.argsort(part[home == segment])
+        names = np.diff(part[home == segment][own], prepend=np.uint32(0))
+        table = {"segment": [segment], "names": [ngram_filter._planes(names)], "counts": [ngram_filter._planes(counts[home == segment][own])]}
+        rows += ngram_filter._segment(pa.table(table), 1 << 30).to_pylist()
     starts = np.cumsum([0, *(len(r["bits"]) for r in rows)])[:-1]
     bloom = ngram_filter.BigramFilter(starts, np.array([r["size"] for r in rows]), np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8))
     back = bloom.counts(hashes)
