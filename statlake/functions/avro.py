@@ -69,6 +69,15 @@ def atomic_avro_type(spark_type: Column, nullable: Column) -> Column:
     return F.when(nullable, F.concat(F.lit("["), avro, F.lit(',"null"]'))).otherwise(avro)
 
 
+def _avro_text(field: T.StructField, namespace: str) -> str | None:
+    """Avro form of a field as text; null if it holds a type that Avro lacks."""
+    try:
+        avro = avro_type(field.dataType, field.nullable, field.name, namespace)
+    except KeyError:
+        return None
+    return json.dumps(avro, separators=(",", ":"))
+
+
 def schema_fields(schema: T.StructType, namespace: str = "") -> list[dict]:
     """The ``fields`` entry of a catalog row."""
     return [
@@ -76,9 +85,7 @@ def schema_fields(schema: T.StructType, namespace: str = "") -> list[dict]:
             "name": f.name,
             "spark_type": f.dataType.simpleString(),
             "nullable": f.nullable,
-            "avro_type": json.dumps(
-                avro_type(f.dataType, f.nullable, f.name, namespace), separators=(",", ":")
-            ),
+            "avro_type": _avro_text(f, namespace),
         }
         for f in schema.fields
     ]

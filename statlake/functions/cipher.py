@@ -165,12 +165,14 @@ def _checked(value: str, limit: str, what: str) -> str:
     )
 
 
-_EPOCH_MICROS = 2208988800000000  # 1900-01-01 to 1970-01-01
+_DAY = 86_400_000_000  # microseconds
+_DAYS = 2127 * 1717  # 0001-01-01 to 9999-12-31
+_EPOCH_MICROS = 719_162 * _DAY  # 0001-01-01 to 1970-01-01
 
-# Microseconds since 1900 from the parts of a timestamp without zone. timestampdiff would first
+# Microseconds since 0001-01-01 from the parts of a timestamp without zone. timestampdiff would first
 # place it in the session's zone and shift times that a clock change skips.
 _NTZ_MICROS = (
-    "(datediff({x}, DATE'1900-01-01') * 86400000000L + hour({x}) * 3600000000L "
+    "(datediff({x}, DATE'0001-01-01') * 86400000000L + hour({x}) * 3600000000L "
     "+ minute({x}) * 60000000L + cast(extract(SECOND FROM {x}) * 1000000 as bigint))"
 )
 
@@ -191,31 +193,31 @@ NUMERIC = {
     ),
     "double": _mantissa(52, "2.2250738585072014E-308D", "1.7976931348623157E308D", "double"),
     "float": _mantissa(23, "1.1754943508222875E-38D", "3.4028234663852886E38D", "float"),
-    # days since 1900-01-01 as five digits, up to 2173
+    # days since 0001-01-01; 2127 * 1717 is the number of days up to 9999-12-31
     "date": Numeric(
-        a="({aux} div 1000L)",
-        b="({aux} % 1000L)",
-        size_a=100,
-        size_b=1000,
-        join="date_add(DATE'1900-01-01', cast({a} * 1000L + {b} as int))",
-        aux=_checked("cast(datediff({x}, DATE'1900-01-01') as bigint)", "99999L", "date"),
+        a="({aux} div 1717L)",
+        b="({aux} % 1717L)",
+        size_a=2127,
+        size_b=1717,
+        join="date_add(DATE'0001-01-01', cast({a} * 1717L + {b} as int))",
+        aux=_checked("cast(datediff({x}, DATE'0001-01-01') as bigint)", f"{_DAYS - 1}L", "date"),
     ),
-    # microseconds since 1900 as sixteen digits, up to 2216
+    # the day and the microsecond of the day
     "timestamp": Numeric(
-        a="({aux} div 100000000L)",
-        b="({aux} % 100000000L)",
-        size_a=10**8,
-        size_b=10**8,
-        join=f"timestamp_micros({{a}} * 100000000L + {{b}} - {_EPOCH_MICROS}L)",
-        aux=_checked(f"(unix_micros({{x}}) + {_EPOCH_MICROS}L)", "9999999999999999L", "timestamp"),
+        a=f"({{aux}} div {_DAY}L)",
+        b=f"({{aux}} % {_DAY}L)",
+        size_a=_DAYS,
+        size_b=_DAY,
+        join=f"timestamp_micros({{a}} * {_DAY}L + {{b}} - {_EPOCH_MICROS}L)",
+        aux=_checked(f"(unix_micros({{x}}) + {_EPOCH_MICROS}L)", f"{_DAYS * _DAY - 1}L", "timestamp"),
     ),
     "timestamp_ntz": Numeric(
-        a="({aux} div 100000000L)",
-        b="({aux} % 100000000L)",
-        size_a=10**8,
-        size_b=10**8,
-        join="timestampadd(MICROSECOND, {a} * 100000000L + {b}, TIMESTAMP_NTZ'1900-01-01 00:00:00')",
-        aux=_checked(_NTZ_MICROS, "9999999999999999L", "timestamp"),
+        a=f"({{aux}} div {_DAY}L)",
+        b=f"({{aux}} % {_DAY}L)",
+        size_a=_DAYS,
+        size_b=_DAY,
+        join=f"timestampadd(MICROSECOND, {{a}} * {_DAY}L + {{b}}, TIMESTAMP_NTZ'0001-01-01 00:00:00')",
+        aux=_checked(_NTZ_MICROS, f"{_DAYS * _DAY - 1}L", "timestamp"),
     ),
 }
 

@@ -28,7 +28,7 @@ def _allowed(char: str) -> bool:
 
 
 def check_path(path: str, reading: bool) -> str:
-    """Driver-side guard for one path; returns it without a trailing slash.
+    """Driver-side guard for one path; returns it with single slashes and none at its end.
 
     ``.`` and ``..`` segments pass the character rule but would leave the lake root, so they are
     refused here.
@@ -36,10 +36,11 @@ def check_path(path: str, reading: bool) -> str:
     body = path[:-1] if reading and path.endswith("*") else path
     if not body.startswith("/") or len(body) < 2 or not all(map(_allowed, body)):
         raise InvalidPath(
-            f"path '{path}' is not valid: it must start with '/' and hold no blanks or special characters"
+            f"path '{path}' is not valid: it begins with '/' and has letters, digits and - _ / . @ only"
         )
     if re.search(r"(^|/)\.{1,2}(/|$)", body):
         raise InvalidPath(f"path '{path}' is not valid: '.' and '..' segments are refused")
+    path = re.sub("/+", "/", path)
     if path.endswith("*"):
         return path
     trimmed = path.rstrip("/")
@@ -63,13 +64,17 @@ def ancestors_of(path: str) -> list[str]:
     return ["/".join(parts[:n]) for n in range(1, len(parts) + 1)]
 
 
-def with_lineage(df: DataFrame) -> DataFrame:
-    """Add the logical path and the version of the file each row was read from."""
+def with_lineage(df: DataFrame, parent_uri: str) -> DataFrame:
+    """Add the logical path and the version of the file each row was read from.
+
+    ``parent_uri`` is the lake's: what follows it in a file's URI is path, version and file name.
+    """
     file_path = F.url_decode(F.col("_metadata.file_path"))
-    pattern = r"/data(/.+)/(\d+)/[^/]+$"
+    parent = re.sub("/+", "/", re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", parent_uri))
+    pattern = rf"^([a-zA-Z][\w+.-]*:)?(//[^/]*)?/*\Q{parent.strip('/')}\E(/.+)/(\d+)/[^/]+$"
     return df.withColumns(
         {
-            "path": F.regexp_extract(file_path, pattern, 1),
-            "version": F.regexp_extract(file_path, pattern, 2).cast("bigint"),
+            "path": F.regexp_extract(file_path, pattern, 3),
+            "version": F.nullif(F.regexp_extract(file_path, pattern, 4), F.lit("")).cast("bigint"),
         }
     )

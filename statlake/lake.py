@@ -25,13 +25,9 @@ from statlake.functions.avro import schema_fields
 from statlake.functions.paths import check_path
 from statlake.operators import access
 from statlake.operators.catalog import COMMIT_FILE, META_FILE, list_prefix
-from statlake.operators.layout import spread
 from statlake.operators.pseudonymize import depseudonymize, pseudonymize
 from statlake.sources import tables
 
-# At most this many files in a version unless the caller names another limit.
-MAX_PARTITIONS = 10_000
-
 # Options of the reader and writer by their string names.
 _WRITE_OPTIONS = {
     "valuation": "valuation",
@@ -56,7 +52,8 @@ class DatasetVersion:
 class Lake:
     """Datasets under one root directory.
 
-    ``user`` switches access checks on; without it the lake is open. ``keys`` maps the key ids of
+    ``user`` switches access checks on, for reads, writes, listings, versions and documents alike;
+    without it the lake is open. ``max_partitions`` limits the files of a version; the default is no limit. ``keys`` maps the key ids of
     pseudonymization policies to secrets.
     """
 
@@ -66,7 +63,7 @@ class Lake:
         root: str,
         user: str | None = None,
         keys: Mapping[str, str] | None = None,
-        max_partitions: int = MAX_PARTITIONS,
+        max_partitions: int | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -87,7 +84,17 @@ class Lake:
         return tables.read_table(self.spark, self.root, "changes")
 
     def documents(self) -> DataFrame:
-        return tables.read_table(self.spark, self.root, "documents")
+        """Documents of the versions that the lake's user may read."""
+        documents = tables.read_table(self.spark, self.root, "documents")
+        if self.user is None:
+            return documents
+        visible = self._visible(self.catalog()).select("path", "version")
+        return documents.join(visible, ["path", "version"], "left_semi").select(*documents.columns)
+
+    def orphans(self) -> DataFrame:
+        """Versions that were announced but have no catalog row: writes that died, or still run."""
+        announced = self.changes().filter("kind = 'meta'").select("path", "version").distinct()
+        return announced.join(self.catalog().select("path", "version"), ["path", "version"], "left_anti")
 
     def grants(self) -> DataFrame:
         return tables.read_table(self.spark, self.root, "grants")
@@ -135,14 +142,14 @@ class Lake:
         if path.endswith("*"):
             return self.list(path[:-1])
         entry = self.resolve(path, snapshot)
-        schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
-        df = self.spark.read.schema(schema).parquet(
-            f"{entry['parent_uri']}{path}/{entry['version']}"
-        )
+        reader = self.spark.read
+        if entry["schema_json"] is not None:  # bulk-loaded rows may come without
+            reader = reader.schema(T.StructType.fromJson(json.loads(entry["schema_json"])))
+        df = reader.parquet(f"{entry['parent_uri']}{path}/{entry['version']}")
         if pseudo is None:
             return df
         policy = self._restoring_policy(path, entry["version"], pseudo)
-        return depseudonymize(spread(df), policy, self.keys)
+        return depseudonymize(df, policy, self.keys)
 
     def resolve(self, path: str, snapshot: int = 0) -> Mapping:
         """The catalog row of the version that a read would see."""
@@ -158,16 +165,19 @@ class Lake:
 
     def list(self, prefix: str, *columns: str) -> DataFrame:
         """Paths of committed datasets that start with a prefix; more catalog columns on demand."""
-        return list_prefix(self.catalog(), prefix, *columns)
+        return list_prefix(self._visible(self.catalog()), prefix, *columns)
 
     def versions(self, path: str) -> DataFrame:
         path = check_path(path, reading=False)
-        return tables.read_bucket(self.spark, self.root, "catalog", path).select(
-            "path", "version", "valuation", "state", "created_by", "created_at"
-        )
+        rows = tables.read_bucket(self.spark, self.root, "catalog", path)
+        visible = self._visible(rows)
+        if self.user is not None and visible.isEmpty() and not rows.isEmpty():
+            raise PermissionDenied("Permission denied")
+        return visible.select("path", "version", "valuation", "state", "created_by", "created_at")
 
     def accessible(self, user: str, privilege: str = "READ") -> DataFrame:
-        return access.accessible(self.catalog(), self.grants(), user, privilege)
+        grants = tables.read_grants(self.spark, self.root, user)
+        return access.accessible(self.catalog(), grants, user, privilege)
 
     # -- write -------------------------------------------------------------------------------
 
@@ -175,9 +185,9 @@ class Lake:
         """``write`` with options under their string names (``dataset-doc``, ``auto-repartition``)."""
         arguments: dict = {}
         for name, value in options.items():
-            if name not in _WRITE_OPTIONS:
+            if name.lower() not in _WRITE_OPTIONS:
                 raise MissingOption(f"unknown option '{name}'")
-            arguments[_WRITE_OPTIONS[name]] = value
+            arguments[_WRITE_OPTIONS[name.lower()]] = value
         if "auto_repartition" in arguments:
             arguments["auto_repartition"] = str(arguments["auto_repartition"]).lower() == "true"
         return self.write(df, path, **arguments)
@@ -198,9 +208,10 @@ class Lake:
     ) -> DatasetVersion:
         """Write a DataFrame as a new immutable version.
 
-        Order: metadata event, data, documents, commit event, catalog row. A version without its
-        catalog row is invisible to readers, so a write that dies half-way changes nothing for
-        them and shows up in ``orphan_versions``.
+        Order: claim, metadata event, data, documents, commit event, catalog row. The claim lets one
+        writer have a version; a write that dies keeps it. A version without its catalog row is
+        invisible to readers, so a write that dies half-way changes nothing for them and shows up in
+        ``orphans``.
         """
         path = check_path(path, reading=False)
         number = _version_number(version)
@@ -223,6 +234,20 @@ class Lake:
             stored_policy = mappings
 
         uri = f"{self.parent_uri}{path}/{number}"
+        # made before anything is written: what cannot be described must not be committed
+        entry = {
+            "path": path,
+            "version": number,
+            "parent_uri": self.parent_uri,
+            "type": "BOUNDED",
+            "valuation": valuation,
+            "state": state,
+            "created_by": self.user,
+            "schema_json": shaped.schema.json(),
+            "fields": schema_fields(shaped.schema),
+        }
+        if not tables.claim(self.spark, self.root, path, number):
+            raise VersionExists(f"version {number} of '{path}' exists already")
         self._event(uri, path, number, "meta", META_FILE)
         try:
             shaped.write.mode("errorifexists").parquet(uri)
@@ -234,37 +259,21 @@ class Lake:
             docs = (dataset_doc, lineage_doc) if write_documents else (None, None)
             self._write_documents(path, number, valuation, state, *docs, stored_policy)
         self._event(uri, path, number, "commit", COMMIT_FILE)
-        tables.append_rows(
-            self.spark,
-            self.root,
-            "catalog",
-            [
-                {
-                    "path": path,
-                    "version": number,
-                    "parent_uri": self.parent_uri,
-                    "type": "BOUNDED",
-                    "valuation": valuation,
-                    "state": state,
-                    "created_by": self.user,
-                    "created_at": _now(),
-                    "schema_json": shaped.schema.json(),
-                    "fields": schema_fields(shaped.schema),
-                }
-            ],
-        )
+        tables.append_rows(self.spark, self.root, "catalog", [{**entry, "created_at": _now()}])
         return DatasetVersion(path, number, uri)
 
     # -- helpers -----------------------------------------------------------------------------
 
     def _shaped(self, df: DataFrame, limit: int | None) -> DataFrame:
-        """Evenly sized output partitions, at most ``limit`` of them.
+        """Evenly sized output partitions, at most ``limit`` of them if one is named.
 
         Adaptive execution picks the number from the data's size; the final ``coalesce`` only
         enforces the limit. Asking the DataFrame for its partition count instead would run its
         shuffles once for the question and once more for the write.
         """
         limit = limit or self.max_partitions
+        if limit is None:
+            return df.hint("rebalance")
         start = min(limit, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         return df.hint("rebalance", start).coalesce(limit)
 
@@ -299,10 +308,17 @@ class Lake:
         row = {"uri": f"{uri}/{file}", "path": path, "version": version, "kind": kind, "ts": _now()}
         tables.append_rows(self.spark, self.root, "changes", [row])
 
+    def _visible(self, catalog: DataFrame) -> DataFrame:
+        """The catalog rows that the lake's user may read."""
+        if self.user is None:
+            return catalog
+        return access.accessible(catalog, tables.read_grants(self.spark, self.root, self.user), self.user)
+
     def _check_access(self, path: str, privilege: str, valuation: str, state: str) -> None:
         if self.user is None:
             return
-        if not access.may_access(self.grants(), self.user, path, privilege, valuation, state):
+        grants = tables.read_grants(self.spark, self.root, self.user)
+        if not access.may_access(grants, self.user, path, privilege, valuation, state):
             raise PermissionDenied("Permission denied")
 
     def _restoring_policy(self, path: str, version: int, pseudo: str) -> list[tuple[str, str]]:

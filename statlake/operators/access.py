@@ -17,10 +17,6 @@ VALUATIONS = ("OPEN", "INTERNAL", "SHIELDED", "SENSITIVE")
 STATES = ("RAW", "INPUT", "PROCESSED", "OUTPUT", "PRODUCT", "OTHER")
 PRIVILEGES = ("READ", "WRITE")
 
-# A user's grants are broadcast only after counting that they are at most this many.
-BROADCAST_GRANTS = 100_000
-SALTS = 64
-
 
 def valuation_rank(valuation: Column) -> Column:
     return F.array_position(F.array(*[F.lit(v) for v in VALUATIONS]), valuation)
@@ -36,7 +32,8 @@ def accessible(catalog: DataFrame, grants: DataFrame, user: str, privilege: str
     """Catalog rows that a grant of the user covers.
 
     Each path is exploded into its few ancestor prefixes, so the prefix test becomes an equi-join
-    on the prefix instead of comparing every dataset with every grant.
+    on the prefix instead of comparing every dataset with every grant. One plan for all sizes:
+    adaptive execution broadcasts few grants and splits a prefix that covers most of the rows.
     """
     mine = (
         grants.filter((F.col("user") == user) & (F.col("privilege") == privilege))
@@ -47,14 +44,7 @@ def accessible(catalog: DataFrame, grants: DataFrame, user: str, privilege: str
     condition = (F.col("ancestor") == F.col("path_prefix")) & _covers(
         F.col("valuation"), F.col("state")
     )
-    bounded = mine.limit(BROADCAST_GRANTS + 1).count() <= BROADCAST_GRANTS
-    if bounded:
-        hits = keyed.join(F.broadcast(mine), condition, "left_semi")
-    else:
-        # a short prefix such as "/a" may be an ancestor of most rows: spread it over salts
-        salted = keyed.withColumn("salt", F.pmod(F.xxhash64("path", "version"), F.lit(SALTS)))
-        copies = mine.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        hits = salted.join(copies, condition & (F.col("salt") == F.col("copy")), "left_semi")
+    hits = keyed.join(mine, condition, "left_semi")
     # a dataset that several of its ancestors cover comes out once
     return hits.dropDuplicates(["path", "version"]).select(*catalog.columns)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from statlake.functions.paths import is_valid_read_path, is_valid_write_path, with_lineage
 from statlake.operators.access import accessible
 from statlake.plans.registry import query
-from statlake.plans.workspace import fresh_lake, published, table
+from statlake.plans.workspace import fresh_lake, published, published_lake, table
 from statlake.sources.tables import append_frame
 
 GOVERNED = {"valuation": "INTERNAL", "state": "INPUT"}
@@ -67,7 +67,7 @@ def scan_count(spark, sf_dir):
        FROM orders GROUP BY o_orderstatus""",
 )
 def scan_lineage_columns(spark, sf_dir):
-    rows = with_lineage(published(spark, sf_dir, "orders"))
+    rows = with_lineage(published(spark, sf_dir, "orders"), published_lake(spark, sf_dir).parent_uri)
     return rows.groupBy("path", "version", "o_orderstatus").agg(F.count("*").alias("n"))
 
 

@@ -37,13 +37,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def published_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The lake that the queries of a session share."""
+    session = (spark.sparkContext.applicationId, sf_dir)
+    if session not in _published:
+        _published[session] = fresh_lake(spark)
+    return _published[session]
+
+
 def published(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table read back from a lake that the queries of a session share: each table is
-    written once, however many queries scan it."""
+    """A test table read back from the shared lake: each table is written once, however many queries
+    scan it."""
     session = (spark.sparkContext.applicationId, sf_dir)
-    lake = _published.get(session)
-    if lake is None:
-        lake = _published[session] = fresh_lake(spark)
+    lake = published_lake(spark, sf_dir)
     path = f"/tables/{name}"
     if (*session, path) not in _datasets:
         df = table(spark, sf_dir, name)

@@ -10,7 +10,7 @@ from statlake.operators.documents import documents_of, meta_json, parsed_documen
 from statlake.plans.registry import query
 from statlake.plans.workspace import fresh_lake, table
 from statlake.sources.tables import append_frame
-from statlake.streaming.changes import change_stream, commits, write_available
+from statlake.streaming.changes import change_stream, commits, distinct_commits, write_available
 
 GOVERNED = {"valuation": "INTERNAL", "state": "INPUT"}
 
@@ -46,7 +46,7 @@ def write_explicit_version(spark, sf_dir):
     lake = fresh_lake(spark)
     customer = table(spark, sf_dir, "customer")
     lake.save(customer, "/tables/customer", {**GOVERNED, "version": "1000"})
-    rows = with_lineage(lake.read("/tables/customer"))
+    rows = with_lineage(lake.read("/tables/customer"), lake.parent_uri)
     return rows.select("c_custkey", "c_mktsegment", "path", "version")
 
 
@@ -227,8 +227,7 @@ def change_log(spark, sf_dir):
 def change_stream_commits(spark, sf_dir):
     lake = fresh_lake(spark)
     append_frame(event_changes(spark, sf_dir), lake.root, "changes")
-    # the delay spans the events' month, so no event is late however the files are batched
-    stream = commits(change_stream(spark, lake.root), delay="60 days")
+    stream = commits(change_stream(spark, lake.root))
     uri = f"{lake.root}/streams/commits"
     write_available(stream, uri, f"{lake.root}/streams/commits-checkpoint")
-    return spark.read.schema(stream.schema).parquet(uri).select("path", "version")
+    return distinct_commits(spark.read.schema(stream.schema).parquet(uri)).select("path", "version")

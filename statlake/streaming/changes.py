@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,27 +15,19 @@ def change_stream(spark: SparkSession, root: str) -> DataFrame:
     return reader.parquet(table_uri(root, "changes"))
 
 
-def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        codes = batch.column("uri").dictionary_encode().indices.to_numpy()
-        first = np.sort(np.unique(codes, return_index=True)[1])
-        yield batch.take(pa.array(first))
-
-
-def commits(changes: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Each commit once: repeated events of the same file within the delay are dropped, and the
-    watermark bounds the state that this takes.
+def commits(changes: DataFrame) -> DataFrame:
+    """Commit events as (path, version, ts), without state: however late an event comes, it comes out.
 
-    The stateful operator moves every row of a file to one task. Repetitions inside a batch of rows
-    are dropped before that, so a file that is announced very often does not overload its task.
+    An event that was announced again comes out again; ``distinct_commits`` folds those where the
+    written commits are read.
     """
     events = changes.filter((F.col("kind") == "commit") & F.col("uri").isNotNull())
-    return (
-        events.mapInArrow(_first_of_each, events.schema)
-        .withWatermark("ts", delay)
-        .dropDuplicatesWithinWatermark(["uri"])
-        .select("path", "version", "ts")
-    )
+    return events.select("path", "version", "ts")
+
+
+def distinct_commits(commits: DataFrame) -> DataFrame:
+    """Each committed version once, with the time of its first event."""
+    return commits.groupBy("path", "version").agg(F.min("ts").alias("ts"))
 
 
 def write_available(stream: DataFrame, uri: str, checkpoint: str) -> StreamingQuery:

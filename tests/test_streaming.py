@@ -1,5 +1,6 @@
 from statlake import depseudonymize, pseudonymize
-from statlake.streaming.changes import change_stream, commits, write_available
+from statlake.sources.tables import append_frame
+from statlake.streaming.changes import change_stream, commits, distinct_commits, write_available
 
 KEYS = {"key1": "secret one"}
 
@@ -11,7 +12,7 @@ def test_commits_follow_writes(lake, spark, governed, tmp_path):
 
     def run():
         write_available(commits(change_stream(spark, lake.root)), uri, checkpoint)
-        return sorted((r["path"], r["version"]) for r in spark.read.parquet(uri).collect())
+        return sorted((r["path"], r["version"]) for r in distinct_commits(spark.read.parquet(uri)).collect())
 
     assert run() == [("/a", 1)]
     lake.write(rows, "/b", version=1, **governed)
@@ -21,6 +22,18 @@ def test_commits_follow_writes(lake, spark, governed, tmp_path):
     assert run() == [("/a", 1), ("/b", 1)]
 
 
+def test_late_commits_come_out(lake, spark, tmp_path):
+    uri, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for i, hour in enumerate((12, 9, 13)):
+        event = f"'/p{i}/1/x' uri, '/p{i}' path, 1L version, 'commit' kind, timestamp'2024-01-01 {hour}:00:00' ts"
+        append_frame(spark.sql(f"SELECT {event}"), lake.root, "changes")
+        write_available(commits(change_stream(spark, lake.root)), uri, checkpoint)
+    found = distinct_commits(spark.read.parquet(uri))
+    assert sorted(r["path"] for r in found.collect()) == ["/p0", "/p1", "/p2"]
+    plan = commits(lake.changes())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Arrow" not in plan
+
+
 def test_pseudonymized_stream(spark, tmp_path):
     source, uri = str(tmp_path / "in"), str(tmp_path / "out")
     rows = spark.range(100).selectExpr("id", "concat('user-', id) AS name")
