@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import hmac
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -397,6 +398,17 @@ class Staged:
     stages: list[dict[str, str]] = field(default_factory=list)
     result: str = ""
 
+    def at(self, k: int) -> dict[str, str]:
+        return self.stages[k] if k < len(self.stages) else {}
+
+    def readers(self) -> list[set[str]]:
+        """For each stage the words in what follows it, columns among them."""
+        texts = [" ".join(stage.values()) for stage in self.stages[1:]] + [self.result]
+        found: list[set[str]] = []
+        for text in reversed(texts):
+            found.append(set(re.findall(r"\w+", text)) | (found[-1] if found else set()))
+        return found[::-1]
+
 
 def staged(kind: str, alphabet: str, x: str, key: str, prefix: str, restore: bool) -> Staged:
     """Stages of one column; ``prefix`` keeps the working columns of several ciphers apart."""

@@ -61,7 +61,9 @@ def _transform(
     types = {f.name: f.dataType for f in df.schema.fields}
     derived: dict[str, str] = {}
     plans: dict[str, cipher.Staged] = {}
+    spelled = {} if spark.conf.get("spark.sql.caseSensitive") == "true" else {c.lower(): c for c in types}
     for var, function in mappings:
+        var = var if var in types else spelled.get(var.lower(), var)
         if var not in types:
             raise PolicyError(f"the policy names column '{var}', which the data does not have")
         if function == UNDEFINED:
@@ -80,12 +82,18 @@ def _transform(
     frame = df.withColumns(
         {name: key_frame.select(f"k{i}").scalar() for i, name in enumerate(derived.values())}
     )
-    tokens = []
-    for i, (var, plan) in enumerate(plans.items()):
-        for stage in plan.stages:
-            frame = frame.withColumns({name: F.expr(text) for name, text in stage.items()})
-        frame = frame.withColumn(f"__token{i}", F.expr(plan.result))
-        tokens.append(F.col(f"__token{i}").alias(var))
+    # one projection for each stage of all columns; a working column goes when no later stage reads it
+    working: list[str] = []
+    readers = [plan.readers() for plan in plans.values()]
+    for k in range(max(len(plan.stages) for plan in plans.values())):
+        made = {name: text for plan in plans.values() for name, text in plan.at(k).items()}
+        later = set().union(*(words[min(k, len(words) - 1)] for words in readers))
+        working = [name for name in dict.fromkeys([*working, *made]) if name in later]
+        kept = [F.col(_quoted(c)) for c in [*df.columns, *derived.values(), *(w for w in working if w not in made)]]
+        frame = frame.select(*kept, *[F.expr(made[name]).alias(name) for name in working if name in made])
+    tokens = [F.expr(plan.result).alias(f"__token{i}") for i, plan in enumerate(plans.values())]
+    frame = frame.select(*[F.col(_quoted(c)) for c in df.columns], *tokens)
+    tokens = [F.col(f"__token{i}").alias(var) for i, var in enumerate(plans)]
     # Spark moves a filter below projections by writing their expressions into it, and every round
     # uses the one before twice: a filter or join on a token would repeat the rounds hundreds of
     # times. It moves no filter on a generated column below its generator, while filters on all

@@ -305,3 +305,19 @@ def test_sql_functions(spark):
     assert sorted(by_sql.collect()) == sorted(by_operator.collect())
     both = ", ".join(f"{call('restore', k, call('apply', k, c))} AS {c}" for c, k in kinds.items())
     assert sorted(spark.sql(f"SELECT id, {both} FROM sql_function_rows").collect()) == sorted(rows.collect())
+
+
+def test_column_names_resolve_as_spark_does(spark):
+    rows = spark.createDataFrame([("abc", 1)], "Ship string, n int")
+    made = pseudonymize(rows, "ship=fpe-text(key1)", KEYS)
+    assert made.columns == ["Ship", "n"] and made.first()["Ship"] != "abc"
+    assert depseudonymize(made, "SHIP=fpe-text(key1)", KEYS).collect() == rows.collect()
+
+
+def test_plans_grow_with_stages_not_columns(spark):
+    def projections(n):
+        rows = spark.range(1).selectExpr(*[f"concat('x', id) AS c{i}" for i in range(n)])
+        made = pseudonymize(rows, {f"c{i}": "fpe-text(key1)" for i in range(n)}, KEYS)
+        return made._jdf.queryExecution().analyzed().toString().count("Project [")
+
+    assert projections(1) == projections(6)
