@@ -219,9 +219,10 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    block = block_of(id_bounds(rows))
+    bounds = id_bounds(rows)
+    block = block_of(bounds)
     rows = rows.withColumn("order", order_key()).withColumn("block", block("order"))
-    dealt = rows.repartition("block").sortWithinPartitions("block", "order", "text").select("block", "doc_id", "text")
+    dealt = rows.repartition(2 * len(bounds) + 2, "block").sortWithinPartitions("block", "order", "text").select("block", "doc_id", "text")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(f"{root}/data")
     kind = "block int, file string, offset long, length long, before long, n_tokens long, width int"

@@ -139,7 +139,8 @@ def weighted_fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    block = block_of(id_bounds(rows))
+    bounds = id_bounds(rows)
+    block = block_of(bounds)
     rows = rows.withColumn("order", order_key()).withColumn("block", block("order"))
     # the first id of each block, and of the block after it, wrapping around: one row a block
     firsts = rows.groupBy("block").agg(F.min("order").alias("order"))
@@ -149,7 +150,7 @@ def weighted_fingerprints(docs: DataFrame) -> DataFrame:
     tails = rows.join(F.broadcast(firsts), "order").groupBy("order", "before").agg(F.min("text").alias("text"))
     tails = tails.select(F.lit(None).cast("long").alias("doc_id"), "text", "order", F.col("before").alias("block"), F.lit(True).alias("tail"))
     rows = rows.withColumn("tail", F.lit(False)).unionByName(tails)
-    dealt = rows.repartition("block").sortWithinPartitions("block", "tail", "order", "text")
+    dealt = rows.repartition(2 * len(bounds) + 2, "block").sortWithinPartitions("block", "tail", "order", "text")
     return dealt.select("block", "doc_id", "text", "tail").mapInArrow(
         _neighbours,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
