@@ -16,10 +16,10 @@ from statlake.llm.common import hashed_words, materialize, mix, seeds, ship, sli
 
 #: Text bytes of a chunk, which one Python call encodes and scores.
 CHUNK_BYTES = 12 << 20
-#: Bytes of the filter at most, whatever the corpus; it is broadcast.
-FILTER_BYTES = 64 << 20
-#: Filter bits for each entry, while they fit, and probes for each entry.
+#: Filter bits for each entry, and probes for each entry.
 ENTRY_BITS, PROBES = 10, 5
+#: Entries that are set or probed at once.
+STEP = 1 << 20
 #: Counts are kept as levels of this ratio, from LEAST_COUNT on.
 RATIO, LEAST_COUNT = 1.5, 2
 #: Weight of the unigram distribution against a context's count.
@@ -30,7 +30,7 @@ BIGRAM_TOKENS, WORD_TOKENS = 4_000_000, 10_000_000
 _END = seeds(1, 41)[0]
 _K = seeds(2, 43) | np.uint64(1)
 _PROBE = seeds(PROBES, 47)
-_LEVEL = seeds(64, 53)
+_LEVEL = seeds(110, 53)
 
 
 def _planes(codes: np.ndarray) -> bytes:
@@ -164,60 +164,85 @@ def _within(hashes: np.ndarray, segments: int) -> np.ndarray:
     return ((hashes // np.uint64(segments)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def _by_part(found: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by (segment, hash within it), the latter in that order, and where each segment begins."""
+    home, part = found % np.uint64(segments), _within(found, segments)
+    order = np.lexsort((part, home))
+    return order, part[order], np.searchsorted(home[order], np.arange(segments + 1, dtype=np.uint64))
+
+
 def _counted(batches: Iterable[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
-    """For each chunk and segment its training bigrams, as differences of sorted hashes, and counts."""
+    """For each chunk and segment its bigrams, as differences of sorted hashes, and their counts in training."""
     for batch in batches:
         for chunk, train, lengths, codes, names in zip(
             *(batch.column(c).to_pylist() for c in ("chunk", "train", "lengths", "codes", "names")), strict=True
         ):
             n = np.array(lengths)
-            own = np.repeat(np.array(train, bool), n)
-            if not own.any():
-                continue
-            tokens = np.frombuffer(names, "<u8")[_codes(codes)][own]
-            found, counts = np.unique(_bigrams(tokens, n[np.array(train, bool)]), return_counts=True)
-            home, part = found % np.uint64(segments), _within(found, segments)
-            order = np.lexsort((part, home))
-            edges = np.searchsorted(home[order], np.arange(segments + 1, dtype=np.uint64))
-            yield _rows(chunk, part[order], counts[order].astype(np.uint32), edges, lambda x: _planes(np.diff(x, prepend=np.uint32(0))))
+            hashes = _bigrams(np.frombuffer(names, "<u8")[_codes(codes)], n)
+            found = np.unique(hashes)
+            trained, times = np.unique(hashes[np.repeat(np.array(train, bool), n)], return_counts=True)
+            counts = np.zeros(len(found), np.uint32)
+            counts[np.searchsorted(found, trained)] = times
+            order, part, edges = _by_part(found, segments)
+            yield _rows(chunk, part, counts[order], edges, lambda x: _planes(np.diff(x, prepend=np.uint32(0))))
 
 
 def _level(counts: np.ndarray) -> np.ndarray:
     return np.minimum(len(_LEVEL), 1 + np.floor(np.log(counts / LEAST_COUNT) / math.log(RATIO) + 1e-9)).astype(np.int64)
 
 
+def _count(levels: np.ndarray) -> np.ndarray:
+    return np.where(levels > 0, LEAST_COUNT * RATIO ** (levels - 0.5), 0.0)
+
+
 def _places(parts: np.ndarray, level: int, probe: int, bits: np.ndarray | int) -> np.ndarray:
     return (mix(parts.astype(np.uint64) ^ _LEVEL[level - 1] ^ _PROBE[probe]) % np.asarray(bits, np.uint64)).astype(np.int64)
 
 
-def _segment(rows: pa.Table, most: int) -> pa.Table:
-    """A segment of the filter: its size in bits, the least count that has entries, and the bits."""
-    parts = np.concatenate([np.cumsum(_codes(x), dtype=np.uint32) for x in rows.column("names").to_pylist()])
+def _parts(names: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.cumsum(_codes(x), dtype=np.uint32) for x in names.to_pylist()]
+
+
+def _segment(rows: pa.Table, step: int = STEP) -> pa.Table:
+    """A segment of the filter, of as many bits as its entries need: its size in bits and the bits."""
+    own, place = np.unique(np.concatenate(_parts(rows.column("names"))), return_inverse=True)
     each = np.concatenate([_codes(x) for x in rows.column("counts").to_pylist()])
-    own, place = np.unique(parts, return_inverse=True)
-    n = np.bincount(place, weights=each).astype(np.int64)
-    least = LEAST_COUNT
-    own, n = own[n >= least], n[n >= least]
+    n = np.bincount(place, weights=each, minlength=len(own)).astype(np.int64)
+    own, n = own[n >= LEAST_COUNT], n[n >= LEAST_COUNT]
     levels = _level(n)
-    while levels.sum() * ENTRY_BITS > most:
-        least = int(n.min()) + 1
-        own, levels, n = own[n >= least], levels[n >= least], n[n >= least]
     size = max(64, int(levels.sum()) * ENTRY_BITS)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         deep = own[levels >= level]
-        for probe in range(PROBES):
-            bits[_places(deep, level, probe, size)] = True
+        for at in range(0, len(deep), step):
+            for probe in range(PROBES):
+                bits[_places(deep[at : at + step], level, probe, size)] = True
     return pa.table(
         {
             "segment": rows.column("segment").slice(0, 1),
             "size": pa.array([size], pa.int64()),
-            "least": pa.array([least], pa.int64()),
             "bits": pa.array([np.packbits(bits).tobytes()], pa.binary()),
         }
     )
 
 
+def _found(rows: pa.Table) -> pa.Table:
+    """The levels that a segment's filter has for its bigrams, sent back to each chunk in the order they came in."""
+    made = _segment(rows)
+    filter_ = BigramFilter(np.zeros(1, np.int64), made.column("size").to_numpy(), np.frombuffer(made.column("bits")[0].as_py(), np.uint8))
+    names = _parts(rows.column("names"))
+    cuts = np.cumsum([0, *map(len, names)])
+    parts = np.concatenate(names)
+    levels = np.concatenate([filter_.levels(np.zeros(len(x), np.int64), x) for x in (parts[i : i + STEP] for i in range(0, len(parts), STEP))])
+    return pa.table(
+        {
+            "chunk": rows.column("chunk"),
+            "segment": rows.column("segment"),
+            "levels": pa.array([levels[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+        }
+    )
+
+
 @dataclass
 class BigramFilter:
     """Quantised counts of bigrams, found by probing level after level until one is missing."""
@@ -226,10 +251,9 @@ class BigramFilter:
     sizes: np.ndarray
     bits: np.ndarray
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(hashes))
-        segments = len(self.sizes)
-        home, parts = (hashes % np.uint64(segments)).astype(np.int64), _within(hashes, segments)
+    def levels(self, home: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """The level of each hash within its segment; 0 is none."""
+        out = np.zeros(len(parts), np.uint8)
         left = np.flatnonzero(self.sizes[home] > 0)
         for level in range(1, len(_LEVEL) + 1):
             for probe in range(PROBES):
@@ -237,15 +261,19 @@ class BigramFilter:
                 left = left[(self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
             if not len(left):
                 break
-            out[left] = LEAST_COUNT * RATIO ** (level - 0.5)
+            out[left] = level
         return out
 
+    def counts(self, hashes: np.ndarray) -> np.ndarray:
+        segments = len(self.sizes)
+        return _count(self.levels((hashes % np.uint64(segments)).astype(np.int64), _within(hashes, segments)))
+
 
-def _score(chunk: pa.Table, known: pa.Table, segments: int, total: int, distinct: int, filter_: BigramFilter) -> pa.Table:
+def _score(chunk: pa.Table, back: pa.Table, words: int, segments: int, total: int, distinct: int) -> pa.Table:
     names = np.frombuffer(chunk.column("names")[0].as_py(), "<u8")
     counts = np.empty(len(names))
-    back = sorted(zip(*(known.column(c).to_pylist() for c in ("segment", "low", "high")), strict=True))
-    counts[_by_segment(names, segments)[0]] = np.concatenate([_codes(a) + _codes(b) * 2.0**32 for _, a, b in back])
+    rows = sorted(zip(*(back.column(c).to_pylist() for c in ("pairs", "segment", "low", "high")), strict=True), key=lambda r: r[:2])
+    counts[_by_segment(names, words)[0]] = np.concatenate([_codes(a) + _codes(b) * 2.0**32 for pairs, _, a, b in rows if not pairs])
     codes, n = _codes(chunk.column("codes")[0].as_py()), chunk.column("lengths")[0].values.to_numpy()
     c = counts[codes]
     base = (c + 0.5) / (total + 0.5 * (distinct + 1))
@@ -255,7 +283,10 @@ def _score(chunk: pa.Table, known: pa.Table, segments: int, total: int, distinct
     context[1:] = c[:-1]
     ends = np.flatnonzero(names == _END)
     context[begins] = counts[ends[0]]
-    seen = np.minimum(filter_.counts(_bigrams(tokens, n)), np.minimum(c, context))
+    found, place = np.unique(_bigrams(tokens, n), return_inverse=True)
+    levels = np.empty(len(found), np.uint8)
+    levels[_by_part(found, segments)[0]] = np.frombuffer(b"".join(a for pairs, _, a, _ in rows if pairs), np.uint8)
+    seen = np.minimum(_count(levels)[place], np.minimum(c, context))
     score = (seen + PRIOR * base) / (context + PRIOR)
     return pa.table(
         {
@@ -280,14 +311,15 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
     row for each input row: doc_id, train, n_tokens, n_known (tokens that training has), train_tokens,
     base_score (log10 probability under unigrams smoothed by 0.5) and score, under the bigram model:
     (count of the bigram + PRIOR * unigram probability) / (count of the context + PRIOR), where bigram
-    counts come from the filter. Bigrams below LEAST_COUNT have no entry. A filter segment that would
-    exceed its share of FILTER_BYTES keeps the bigrams with the highest counts.
+    counts come from the filter. Bigrams below LEAST_COUNT have no entry; all others have one, and the
+    number of filter segments grows with the tokens.
 
     Null, empty and blank texts have the end token only. Rows that repeat a doc_id are scored each,
     and without training rows every count is 0. Other columns are ignored.
 
     Texts are read once and kept as chunks of codes with a dictionary each; unigram counts go to
-    and from chunks by segments of the hash space, so no vocabulary is ever broadcast.
+    and from chunks by segments of the hash space, and so do a chunk's distinct bigrams and the levels
+    that their segment of the filter has for them. No vocabulary or filter is broadcast or collected.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -306,23 +338,14 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
     total, distinct = known.agg(F.sum("total"), F.sum("distinct")).first()
     segments = max(8, -(-tokens // BIGRAM_TOKENS))
     counted = chunks.select("chunk", "train", "lengths", "codes", "names").mapInArrow(lambda it: _counted(it, segments), _ROWS)
-    most = FILTER_BYTES * 8 // segments
-    made = counted.drop("chunk").groupBy("segment").applyInArrow(
-        lambda rows: _segment(rows, most), "segment int, size long, least long, bits binary"
-    )
-    # at most FILTER_BYTES, whatever the corpus
-    found = sorted(made.collect(), key=lambda r: r["segment"])
-    sizes, starts, at = np.zeros(segments, np.int64), np.zeros(segments, np.int64), 0
-    for r in found:
-        sizes[r["segment"]], starts[r["segment"]] = r["size"], at
-        at += len(r["bits"])
-    shared = spark.sparkContext.broadcast((starts, sizes, b"".join(r["bits"] for r in found)))
-    del found
-
-    def score(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        a, b, bits = shared.value
-        return _score(chunk, known, words, total, distinct, BigramFilter(a, b, np.frombuffer(bits, np.uint8)))
+    found = counted.groupBy("segment").applyInArrow(_found, "chunk long, segment int, levels binary")
+
+    def score(chunk: pa.Table, back: pa.Table) -> pa.Table:
+        return _score(chunk, back, words, segments, total, distinct)
 
     own = chunks.select("chunk", "ids", "train", "lengths", "codes", "names")
-    back = known.select("chunk", "segment", "low", "high")
+    none = F.lit(None).cast("binary")
+    back = known.select("chunk", F.lit(False).alias("pairs"), "segment", "low", "high").unionByName(
+        found.select("chunk", F.lit(True).alias("pairs"), "segment", F.col("levels").alias("low"), none.alias("high"))
+    )
     return own.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(score, _SCORES)

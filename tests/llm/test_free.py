@@ -8,6 +8,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.conftest import ODD
 from llm.test_near_dedup import words
@@ -164,6 +165,50 @@ def test_counts_come_back_from_the_filter():
     assert (bloom.counts(absent) > 0).mean() < 0.03
 
 
+def segment_of(names, counts):
+    own = np.argsort(names)
+    planes = ngram_filter._planes
+    return pa.table({"segment": [0], "chunk": [5], "names": [planes(np.diff(names[own], prepend=np.uint32(0)))], "counts": [planes(counts[own])]}), own
+
+
+def test_a_segment_keeps_all_entries_whatever_their_number():
+    rng = np.random.default_rng(8)
+    names = np.unique(rng.integers(0, 1 << 32, 30_000, dtype=np.uint32))
+    counts = rng.choice([2, 3, 10], len(names)).astype(np.uint32)
+    # a bound of 64, which was one in bits
+    made = ngram_filter._segment(segment_of(names, counts)[0], 64).to_pylist()[0]
+    bloom = ngram_filter.BigramFilter(np.zeros(1, np.int64), np.array([made["size"]]), np.frombuffer(made["bits"], np.uint8))
+    assert (bloom.counts(names.astype(np.uint64)) >= counts / 1.5).all()
+
+
+def test_scores_do_not_depend_on_the_size_of_the_filter(spark, documents, monkeypatch):
+    """A filter far above its former share, in many segments and chunks, against counts in a dictionary."""
+    monkeypatch.setattr(ngram_filter, "FILTER_BYTES", 500, raising=False)
+    monkeypatch.setattr(ngram_filter, "BIGRAM_TOKENS", 2_000)
+    monkeypatch.setattr(ngram_filter, "CHUNK_BYTES", 20_000)
+    rng = random.Random(10)
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(60)], k=rng.randint(0, 60)))) for i in range(1500)]
+    docs = documents(rows)
+    found = {r["doc_id"]: r["score"] for r in score_texts(docs, docs.doc_id % 3 != 1).collect()}
+    # the same text has the same score in training and out of it, in whichever chunk it is
+    pairs, counts = collections.Counter(), collections.Counter()
+    for i, text in rows:
+        if i % 3 != 1:
+            own = [None, *words(text), None]
+            counts.update(own[1:])
+            pairs.update(zip(own, own[1:], strict=False))
+    total, distinct = sum(counts.values()), len(counts)
+    off = []
+    for i, text in rows:
+        own = [None, *words(text), None]
+        score = 0.0
+        for a, b in zip(own, own[1:], strict=False):
+            base = (counts[b] + 0.5) / (total + 0.5 * (distinct + 1))
+            score += math.log10((pairs[a, b] + 300 * base) / (counts[a] + 300))
+        off.append((found[i] - score) / len(own))
+    assert abs(np.mean(off)) < 0.01 and np.max(np.abs(off)) < 0.08
+
+
 def test_no_texts_and_no_training(documents):
     docs = documents([(1, "a b"), (2, None)])
     assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in score_texts(docs, docs.doc_id < 0).collect()} == {(1, 3, 0, 0), (2, 1, 0, 0)}
