@@ -21,7 +21,7 @@ ENTRY_BITS, PROBES = 10, 5
 #: Entries that are set or probed at once.
 STEP = 1 << 20
 #: Counts are kept as levels of this ratio, from LEAST_COUNT on.
-RATIO, LEAST_COUNT = 1.5, 2
+RATIO, LEAST_COUNT = 1.5, 1
 #: Weight of the unigram distribution against a context's count.
 PRIOR = 300.0
 #: Tokens whose bigrams, and tokens whose words, make one segment of the hash space, about.
@@ -31,6 +31,9 @@ _END = seeds(1, 41)[0]
 _K = seeds(2, 43) | np.uint64(1)
 _PROBE = seeds(PROBES, 47)
 _LEVEL = seeds(110, 53)
+_EDGES = np.ceil(LEAST_COUNT * RATIO ** np.arange(len(_LEVEL) + 1) - 1e-9)
+#: The mean of the counts that a level stands for; level 0 is none, level 1 exactly LEAST_COUNT.
+_COUNT = np.concatenate([[0.0], (_EDGES[:-1] + _EDGES[1:] - 1) / 2])
 
 
 def _planes(codes: np.ndarray) -> bytes:
@@ -191,10 +194,6 @@ def _level(counts: np.ndarray) -> np.ndarray:
     return np.minimum(len(_LEVEL), 1 + np.floor(np.log(counts / LEAST_COUNT) / math.log(RATIO) + 1e-9)).astype(np.int64)
 
 
-def _count(levels: np.ndarray) -> np.ndarray:
-    return np.where(levels > 0, LEAST_COUNT * RATIO ** (levels - 0.5), 0.0)
-
-
 def _places(parts: np.ndarray, level: int, probe: int, bits: np.ndarray | int) -> np.ndarray:
     return (mix(parts.astype(np.uint64) ^ _LEVEL[level - 1] ^ _PROBE[probe]) % np.asarray(bits, np.uint64)).astype(np.int64)
 
@@ -266,7 +265,7 @@ class BigramFilter:
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         segments = len(self.sizes)
-        return _count(self.levels((hashes % np.uint64(segments)).astype(np.int64), _within(hashes, segments)))
+        return _COUNT[self.levels((hashes % np.uint64(segments)).astype(np.int64), _within(hashes, segments))]
 
 
 def _score(chunk: pa.Table, back: pa.Table, words: int, segments: int, total: int, distinct: int) -> pa.Table:
@@ -286,7 +285,7 @@ def _score(chunk: pa.Table, back: pa.Table, words: int, segments: int, total: in
     found, place = np.unique(_bigrams(tokens, n), return_inverse=True)
     levels = np.empty(len(found), np.uint8)
     levels[_by_part(found, segments)[0]] = np.frombuffer(b"".join(a for pairs, _, a, _ in rows if pairs), np.uint8)
-    seen = np.minimum(_count(levels)[place], np.minimum(c, context))
+    seen = np.minimum(_COUNT[levels][place], np.minimum(c, context))
     score = (seen + PRIOR * base) / (context + PRIOR)
     return pa.table(
         {
@@ -311,7 +310,7 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
     row for each input row: doc_id, train, n_tokens, n_known (tokens that training has), train_tokens,
     base_score (log10 probability under unigrams smoothed by 0.5) and score, under the bigram model:
     (count of the bigram + PRIOR * unigram probability) / (count of the context + PRIOR), where bigram
-    counts come from the filter. Bigrams below LEAST_COUNT have no entry; all others have one, and the
+    counts come from the filter. Every training bigram has an entry, those seen once included, and the
     number of filter segments grows with the tokens.
 
     Null, empty and blank texts have the end token only. Rows that repeat a doc_id are scored each,

@@ -181,6 +181,25 @@ def test_a_segment_keeps_all_entries_whatever_their_number():
     assert (bloom.counts(names.astype(np.uint64)) >= counts / 1.5).all()
 
 
+def test_bigrams_seen_once_have_their_count(documents):
+    rng = np.random.default_rng(11)
+    names = np.unique(rng.integers(0, 1 << 32, 30_000, dtype=np.uint32))
+    counts = rng.choice([0, 1, 2], len(names)).astype(np.uint32)
+    rows, own = segment_of(names, counts)
+    back = ngram_filter._COUNT[np.frombuffer(ngram_filter._found(rows).column("levels")[0].as_py(), np.uint8)]
+    assert (back >= counts[own]).all()
+    for n in (0, 1, 2):
+        assert (back[counts[own] == n] == n).mean() > 0.97
+    # in scores: what training has once is likelier in its order than in another
+    text = [f"v{i}" for i in range(40)]
+    docs = documents([(0, " ".join(text)), (1, " ".join(text)), (2, " ".join(text[::-1]))])
+    found = {r["doc_id"]: r["score"] for r in score_texts(docs, docs.doc_id == 0).collect()}
+    base = (1 + 0.5) / (41 + 0.5 * 42)
+    wanted = 41 * math.log10((1 + 300 * base) / 301)
+    assert found[0] == pytest.approx(wanted, abs=0.02) and found[1] == pytest.approx(wanted, abs=0.02)
+    assert found[2] < found[1]
+
+
 def test_scores_do_not_depend_on_the_size_of_the_filter(spark, documents, monkeypatch):
     """A filter far above its former share, in many segments and chunks, against counts in a dictionary."""
     monkeypatch.setattr(ngram_filter, "FILTER_BYTES", 500, raising=False)
