@@ -29,6 +29,11 @@ _AWAY_WORDS = frozenset(
     "pager pagination paywall popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip "
     "social sponsor sponsored subscribe subscription tags teaser toolbar topbar widget widgets".split()
 )
+#: Those of them that mark lists whose members are articles, too.
+_LISTS = frozenset("comment comments commentlist disqus promo promoted recommended related replies reply respond sponsored teaser".split())
+#: Before a word of a class, these say what the page has, not what the element is.
+_STATES = frozenset("has have hide hides no not show shows with without".split())
+_WHOLE = frozenset(["html", "body"])
 _HERE = frozenset(["article", "main"])
 _HERE_WORDS = frozenset("article articlebody content entry main post story".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -55,9 +60,21 @@ class Block:
     item: int
 
 
-def _marks(name: str, rest: str) -> tuple[bool, bool]:
-    """Whether an element is marked as away from the article, and as the article."""
-    away, here = name in _AWAY, name in _HERE
+def _class_words(value: str) -> tuple[set[str], set[str]]:
+    """The words of a class or id, and those that are a name of their own; none after a word of state."""
+    words, alone = set(), set()
+    for name in value.split():
+        parts = _PARTS.findall(_CAMEL.sub(r"\1 \2", name).lower())
+        state = next((i for i, part in enumerate(parts) if part in _STATES), len(parts))
+        words.update(parts[:state])
+        if len(parts) == 1:
+            alone.update(parts[:state])
+    return words, alone
+
+
+def _marks(name: str, rest: str) -> tuple[bool, bool, bool]:
+    """Whether an element is marked as away from the article, as away by a class that may be its layout's, and as the article."""
+    away, soft, here = name in _AWAY, False, name in _HERE
     if "=" in rest or "hidden" in rest.lower():
         for key, *values in _ATTRIBUTE.findall(rest):
             key, value = key.lower(), "".join(values)
@@ -66,20 +83,34 @@ def _marks(name: str, rest: str) -> tuple[bool, bool]:
                 away, here = away or low in _AWAY_ROLES, here or low in _HERE
             elif key == "hidden" or key == "aria-hidden" and low == "true" or key == "style" and re.search(r"display\s*:\s*none", low):
                 away = True
-            elif key in ("class", "id"):
-                words = set(_PARTS.findall(_CAMEL.sub(r"\1 \2", value).lower()))
-                away, here = away or bool(words & _AWAY_WORDS), here or bool(words & _HERE_WORDS)
-    return away, here and not away
+            elif key in ("class", "id") and name not in _WHOLE:
+                words, alone = _class_words(value)
+                if name in _HERE:
+                    # a compound says what an article is in or about
+                    away = away or bool(alone & _AWAY_WORDS)
+                else:
+                    away, soft = away or bool(words & _LISTS), soft or bool(words & _AWAY_WORDS)
+                    here = here or bool(words & _HERE_WORDS)
+    return away, soft, here and not away and not soft
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order; unclosed and stray tags and a cut end are tolerated."""
+    """The page's text blocks in order; unclosed and stray tags and a cut end are tolerated.
+
+    Blocks within an element that a class marks as away are away, unless that would leave less of the
+    page than the article in it has: if no article or main is outside of such elements, those around
+    the least enclosed ones are a layout, and their marks are lifted.
+    """
     out: list[Block] = []
-    open_: list[tuple[str, int, int]] = []  # element, away and here of it and what it is in
+    none: frozenset[int] = frozenset()
+    open_: list[tuple[str, int, int, frozenset[int]]] = []  # element; away, here and class marks of it and what it is in
+    marks: list[tuple[int, frozenset[int]]] = []  # away and class marks of each block
+    inside: list[frozenset[int]] = []  # the class marks around each article
+    free = False
     pieces: list[str] = []
     linked: list[str] = []
     in_link = False
-    state = (0, 0)
+    state = (0, 0, none)
 
     def flush() -> None:
         nonlocal pieces, linked
@@ -88,7 +119,8 @@ def blocks(page: str) -> list[Block]:
             n = len(text.split())
             links = len(html.unescape("".join(linked)).split())
             names = [x[0] for x in open_]
-            out.append(Block(text, n, min(1.0, links / n), *state, int(bool(_HEADINGS & set(names))), int("li" in names)))
+            marks.append((state[0], state[2]))
+            out.append(Block(text, n, min(1.0, links / n), int(state[0] or bool(state[2])), state[1], int(bool(_HEADINGS & set(names))), int("li" in names)))
         pieces, linked = [], []
 
     at, size = 0, len(page)
@@ -117,8 +149,8 @@ def blocks(page: str) -> list[Block]:
                 in_link = not m["end"]
                 if in_link:
                     linked.append(" ")
-            away, here = _marks(name, m["rest"]) if m["rest"] and not m["end"] else (False, False)
-            if not away or name in _VOID:
+            away, soft, here = _marks(name, m["rest"]) if m["rest"] and not m["end"] else (False, False, False)
+            if not (away or soft) or name in _VOID:
                 continue
         flush()
         in_link = False
@@ -130,11 +162,22 @@ def blocks(page: str) -> list[Block]:
         elif name not in _VOID and not m["rest"].endswith("/"):
             if name in ("p", "li") and open_ and open_[-1][0] == name:
                 open_.pop()
-            away, here = _marks(name, m["rest"])
-            above = open_[-1][1:] if open_ else (0, 0)
-            open_.append((name, int(away or above[0]), int(here or above[1])))
-        state = open_[-1][1:] if open_ else (0, 0)
+            away, soft, here = _marks(name, m["rest"])
+            above = open_[-1][1:] if open_ else (0, 0, none)
+            if here and not above[0]:
+                free = free or name in _HERE and not above[2]
+                inside.append(above[2])
+            open_.append((name, int(away or above[0]), int(here or above[1]), above[2] | {at} if soft else above[2]))
+        state = open_[-1][1:] if open_ else (0, 0, none)
     flush()
+    around = [x for x in inside if x]
+    if around and not free:
+        fewest = min(map(len, around))
+        layout = none.union(*(x for x in around if len(x) == fewest))
+        lifted = [b for b, (firm, soft) in zip(out, marks, strict=True) if soft and soft <= layout and not firm]
+        if sum(b.words for b in lifted) > sum(b.words for b in out if not b.away):
+            for b in lifted:
+                b.away = 0
     return out
 
 
@@ -156,6 +199,8 @@ LABELLED_PAGES = (
     "<body><article><header><p>-6</p></header><p>+1</p><p>+5</p><p>+12</p><p><a>+3</a></p><aside>-50</aside><div class='advert'>-35</div><p>+18</p><footer>-8</footer></article></body>",
     "<body><article><h1>+2</h1><p>+150</p><p>+1</p></article><div class='related'><h2>-2</h2><ul><li><a>-8</a></li><li><a>-11</a></li></ul></div><div class='newsletter'><p>-45</p></div></body>",
     "<body><ul><li><a>-1</a></li><li><a>-1</a></li><li>-2</li></ul><p>+50</p><p>+16</p><p>+65</p><ul><li><a>-6</a></li><li><a>-7</a></li></ul><p>-7</p></body>",
+    "<body class='single has-sidebar'><div id='page' class='no-sidebar'><ul><li><a>-2</a></li><li><a>-3</a></li></ul><main class='site-content with-nav'><article class='post search-result'><h1>+6</h1><p>+70</p><p>+2</p><p>+40</p></article></main><div class='sidebar'><p>-30</p></div></div></body>",
+    "<body class='search'><div class='sidebar-layout'><div><a>-2</a> <a>-1</a></div><article><h2>+5</h2><p>+110</p><p>+15</p><div class='share-bar'><a>-1</a></div></article><div id='comments'><article class='comment-body'><p>-35</p></article></div></div></body>",
 )
 
 

@@ -45,6 +45,33 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+LONG = "word " * 60
+
+
+@pytest.mark.parametrize(
+    ("page", "kept"),
+    [
+        ("<body class='single has-sidebar'><article><p>{0}</p></article></body>", True),
+        ("<html class='no-search'><body id=search><article><p>{0}</p></article></body></html>", True),
+        ("<div id='page' class='no-sidebar'><article><p>{0}</p></article></div>", True),
+        ("<div class='hasSidebar'><p>{0}</p><p>{0}</p></div>", True),
+        ("<main class='site-content with-nav'><p>{0}</p></main>", True),
+        ("<article class='post search-result'><p>{0}</p></article>", True),
+        ("<div class='sidebar-right-layout'><article><p>{0}</p></article><div class=sidebar><p>side</p></div></div>", True),
+        ("<div class='content'><div class='layout-widget'><div class='entry'><p>{0}</p></div></div></div>", True),
+        ("<article class=teaser><p>{0}</p></article>", False),
+        ("<div class=sidebar><p>{0}</p></div>", False),
+        ("<main><p>own</p></main><div class='sidebar-list'><article><p>{0}</p></article></div>", False),
+        ("<article><p>own</p></article><section id=comments><article class='comment-body'><p>{0}</p></article></section>", False),
+        ("<div class=content><p>own text</p></div><ol class='comment-list'><article><p>{0}</p></article></ol>", False),
+        ("<nav class='with-main'><article><p>{0}</p></article></nav>", False),
+    ],
+)
+def test_classes_of_layouts_do_not_hide_the_article(page, kept):
+    text = main_text(page.format(LONG))
+    assert (LONG.strip() in text) == kept and "side" not in text
+
+
 def test_extraction_of_a_table(spark):
     long = "<article>" + "<p>word word</p>" * 40_000
     rows = [(1, "u", long, 7), (1, "u", long, 7), (None, None, None, 8), (2, "v", "<p", 9)]
