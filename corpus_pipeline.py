@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.llm.common import materialize, read
@@ -18,6 +18,11 @@ from statlake.llm.toxicity import fit_toxicity, toxicity_score
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def row_key() -> Column:
+    """What tells rows apart: the id, which may be null or repeated, and the text."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5."""
     model = fit_toxicity(docs, training_labels(spark, sf_dir))
@@ -37,9 +42,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    leaks = contaminated(docs, read(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(materialize(leaks), "doc_id", "left_anti").select(*COLUMNS)
+    """Documents without a benchmark passage, each by its own text, whether its doc_id is null or repeated."""
+    rows = docs.select(*COLUMNS, row_key().alias("key"))
+    own = rows.select(F.col("key").alias("doc_id"), "text")
+    leaks = contaminated(own, read(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias("key")).distinct()
+    return rows.join(materialize(leaks), "key", "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

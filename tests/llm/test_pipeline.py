@@ -78,6 +78,16 @@ def test_each_stage_on_its_own_input(spark, tables):
     assert collections.Counter(r["doc_id"] for r in placed.collect()) == times
 
 
+def test_leaks_go_by_their_rows(spark, tables):
+    """A leak with a null id goes; a clean text stays though its id is null or has a leak."""
+    folder, rows, leaks = tables
+    text = next(r[1] for r in rows if r[0] == leaks[0])
+    made = [(None, text), (None, "clean words"), (None, None), (5, text), (5, "other clean words"), (6, "clean words")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in made], KIND)
+    kept = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, folder).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted((x for x in made if x[1] != text), key=repr)
+
+
 def test_run_applies_the_stages(spark, tables):
     folder, rows, leaks = tables
     found = corpus_pipeline.run(spark, folder)
