@@ -29,16 +29,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(toxicity_score(docs, model) < 0.5).select(*COLUMNS)
 
 
+def _nodes(docs: DataFrame) -> DataFrame:
+    """The rows with a node: their doc_id, or above all usual ids one for each text of null ids and each further text of repeated ones."""
+    rows = docs.select(*COLUMNS, row_key().alias("key"))
+    # the smallest text of an id keeps it; a null id is no one's
+    several = rows.groupBy("doc_id").agg(F.min(F.struct("text", "key"))["key"].alias("first"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+    several = materialize(several.filter("doc_id is not null and lo < hi").select("doc_id", "first"))
+    own = F.col("key").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    if several.head(1):
+        rows = rows.join(several, "doc_id", "left")
+    else:
+        rows = rows.withColumn("first", F.lit(None).cast("long"))
+    further = F.col("doc_id").isNull() | F.coalesce(F.col("key") != F.col("first"), F.lit(False))
+    return rows.select(*COLUMNS, F.when(further, own).otherwise(F.col("doc_id").cast("long")).alias("node"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: its smallest doc_id, once."""
-    rest = near_duplicates(docs).filter("not kept").select("doc_id")
-    whole = docs.select(*COLUMNS).join(materialize(rest), "doc_id", "left_anti")
-    # repeated rows of an id: the first text stays
-    several = materialize(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1"))
+    """One document of each group of near duplicates, once: its smallest doc_id.
+
+    Rows are one only if id and text are equal. A null id and the further texts of a repeated one stand
+    for themselves and come after all other ids; they go if their text is near another's.
+    """
+    nodes = _nodes(docs)
+    rest = near_duplicates(nodes.select(F.col("node").alias("doc_id"), "text")).filter("not kept").select(F.col("doc_id").alias("node")).distinct()
+    whole = nodes.join(materialize(rest), "node", "left_anti")
+    # equal rows: one stays
+    several = materialize(nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node"))
     if not several.head(1):
         return whole.select(*COLUMNS)
-    again = whole.join(several, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("first")).select("doc_id", "first.*")
-    return whole.join(several, "doc_id", "left_anti").select(*COLUMNS).unionByName(again.select(*COLUMNS))
+    again = whole.join(several, "node").groupBy("node").agg(F.min(F.struct(*COLUMNS)).alias("first")).select("first.*")
+    return whole.join(several, "node", "left_anti").select(*COLUMNS).unionByName(again.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
