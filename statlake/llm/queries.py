@@ -11,6 +11,7 @@ from statlake.llm.common import read
 from statlake.llm.decontaminate import LEAST, SPAN, WINDOW, contaminated
 from statlake.llm.html_extract import extract_main_text
 from statlake.llm.kd_shards import kd_shards
+from statlake.llm.language_id import fit_languages, identify_languages
 from statlake.llm.mixing import mix_decisions
 from statlake.llm.near_dedup import near_duplicates
 from statlake.llm.ngram_filter import score_texts
@@ -210,3 +211,11 @@ SELECT pair_id, chosen_id, rejected_id, CAST(n AS INTEGER) AS n_common,
     coalesce(string_agg(concat(length(head), '- ', length(body), CASE WHEN role = '{LEARNT}' THEN '+' ELSE '-' END), ' ' ORDER BY pos) FILTER (NOT shared AND NOT chosen), '') AS rejected_mask
 FROM r JOIN best USING (pair_id) JOIN common USING (pair_id) GROUP BY pair_id, chosen_id, rejected_id, n
 """
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fit_languages(docs.filter(fold("doc_id", 4) != 2))
+    held_out = (fold("doc_id", 4) == 2).alias("held_out")
+    return identify_languages(docs, model).select("doc_id", held_out, "lang_pred", "score")
