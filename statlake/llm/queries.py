@@ -16,6 +16,7 @@ from statlake.llm.mixing import mix_decisions
 from statlake.llm.near_dedup import near_duplicates
 from statlake.llm.ngram_filter import score_texts
 from statlake.llm.preferences import END, HEAD_CLOSE, HEAD_OPEN, LEARNT, format_preferences, mask, pair_neighbours
+from statlake.llm.prefix_trie import ordered_turns, prefix_trie, with_shared_heads
 from statlake.llm.token_records import token_records
 from statlake.llm.toxicity import fit_toxicity, score_toxicity
 from statlake.llm.weighted_sampling import weighted_fingerprints
@@ -219,3 +220,44 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_languages(docs.filter(fold("doc_id", 4) != 2))
     held_out = (fold("doc_id", 4) == 2).alias("held_out")
     return identify_languages(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(with_shared_heads(ordered_turns(read(spark, sf_dir, "conversations"))))
+
+
+# every prefix of every conversation as a list, grouped; sums over subtrees by all prefixes of each node
+ORACLE["op12_prefix_trie"] = r"""
+WITH own AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''),
+        md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), bytes AS (  -- crc32, bit by bit: -1 stands for a shift
+    SELECT conv_id, turns, conv_id - conv_id % 100 AS head,
+        flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM own
+), h AS (
+    SELECT conv_id, turns, head, xor(list_reduce(list_concat([4294967295::BIGINT], steps), lambda a, x:
+        CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384::BIGINT * (a & 1)) END), 4294967295::BIGINT) % 6 AS h FROM bytes
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(g.turns[:c.h], []), c.turns[c.h + 1:]) AS turns FROM h c LEFT JOIN own g ON g.conv_id = c.head
+), member AS (
+    SELECT conv_id, depth, turns[:depth] AS prefix, len(turns) = depth AS last FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM rebuilt)
+), node AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+    FROM member GROUP BY prefix, depth
+), child AS (
+    SELECT prefix[:depth - 1] AS prefix, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1
+), own_sums AS (
+    SELECT node.*, coalesce(child.n, 0) AS n_children, CASE WHEN child.n IS NULL THEN 1 ELSE 0 END AS leaf,
+        CASE WHEN depth > 0 THEN (n_convs - 1) * length(node.prefix[-1].text) ELSE 0 END AS saved
+    FROM node LEFT JOIN child ON child.prefix = node.prefix
+), subtree AS (
+    SELECT prefix[:up] AS prefix, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM own_sums) GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+    CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM own_sums n JOIN subtree s ON s.prefix = n.prefix LEFT JOIN node p ON n.depth > 0 AND p.prefix = n.prefix[:n.depth - 1]
+"""
