@@ -17,6 +17,7 @@ from statlake.llm.near_dedup import near_duplicates
 from statlake.llm.ngram_filter import score_texts
 from statlake.llm.preferences import END, HEAD_CLOSE, HEAD_OPEN, LEARNT, format_preferences, mask, pair_neighbours
 from statlake.llm.prefix_trie import ordered_turns, prefix_trie, with_shared_heads
+from statlake.llm.token_links import token_links
 from statlake.llm.token_records import token_records
 from statlake.llm.toxicity import fit_toxicity, score_toxicity
 from statlake.llm.weighted_sampling import weighted_fingerprints
@@ -261,3 +262,11 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
     CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM own_sums n JOIN subtree s ON s.prefix = n.prefix LEFT JOIN node p ON n.depth > 0 AND p.prefix = n.prefix[:n.depth - 1]
 """
+
+
+@query
+def op13_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_links(read(spark, sf_dir, "documents"), *paths)
