@@ -27,3 +27,7 @@ class VersionExists(LakeError):
 
 class PolicyError(LakeError, ValueError):
     """A pseudonymization policy cannot be applied."""
+
+
+class WriteExpired(LakeError):
+    """A write outlived its claim and was not committed."""

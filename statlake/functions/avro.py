@@ -1,91 +1,64 @@
-"""Spark types as Avro types."""
+"""Schemas as data: Spark fields with their Avro form, and nested fields by dotted names."""
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-# Avro form of the atomic Spark types.
-_ATOMIC = {
-    "boolean": "boolean",
-    "tinyint": "int",
-    "smallint": "int",
-    "int": "int",
-    "bigint": "long",
-    "float": "float",
-    "double": "double",
-    "string": "string",
-    "binary": "bytes",
-    "date": {"type": "int", "logicalType": "date"},
-    "timestamp": {"type": "long", "logicalType": "timestamp-micros"},
-    "timestamp_ntz": {"type": "long", "logicalType": "local-timestamp-micros"},
-}
 
-
-def avro_type(data_type: T.DataType, nullable: bool, name: str = "topLevelRecord", namespace: str = ""):
-    """Avro form of a Spark type as a JSON value; nullable types are unions with null."""
-    if isinstance(data_type, T.StructType):
-        inner = f"{namespace}.{name}" if namespace else name
-        record = {"type": "record", "name": name}
-        if namespace:
-            record["namespace"] = namespace
-        record["fields"] = [
-            {"name": f.name, "type": avro_type(f.dataType, f.nullable, f.name, inner)}
-            for f in data_type.fields
-        ]
-        result = record
-    elif isinstance(data_type, T.ArrayType):
-        items = avro_type(data_type.elementType, data_type.containsNull, name, namespace)
-        result = {"type": "array", "items": items}
-    elif isinstance(data_type, T.MapType):
-        values = avro_type(data_type.valueType, data_type.valueContainsNull, name, namespace)
-        result = {"type": "map", "values": values}
-    elif isinstance(data_type, T.DecimalType):
-        result = _decimal(data_type, name, namespace)
-    else:
-        result = _ATOMIC[data_type.simpleString()]
-    return [result, "null"] if nullable else result
-
-
-def _decimal(data_type: T.DecimalType, name: str, namespace: str) -> dict:
-    """A fixed just wide enough for the precision."""
-    width = (len(bin(10**data_type.precision)) - 2) // 8 + 1
-    fixed = {"type": "fixed", "name": "fixed", "size": width, "logicalType": "decimal"}
-    fixed["namespace"] = f"{namespace}.{name}" if namespace else name
-    fixed["precision"] = data_type.precision
-    fixed["scale"] = data_type.scale
-    return fixed
-
-
-def atomic_avro_type(spark_type: Column, nullable: Column) -> Column:
-    """Avro JSON text of atomic type names held in a column; null for names of nested types."""
-    names = F.create_map(
-        *[F.lit(v) for k, a in _ATOMIC.items() for v in (k, json.dumps(a, separators=(",", ":")))]
-    )
-    avro = F.try_element_at(names, spark_type)
-    return F.when(nullable, F.concat(F.lit("["), avro, F.lit(',"null"]'))).otherwise(avro)
-
-
-def _avro_text(field: T.StructField, namespace: str) -> str | None:
-    """Avro form of a field as text; null if it holds a type that Avro lacks."""
+def avro_text(spark: SparkSession, data_type: T.DataType, nullable: bool, name: str = "topLevelRecord", namespace: str = "") -> str | None:
+    """Avro form of a Spark type as JSON text, by Spark's own converter; null if it holds a type or a name that
+    Avro lacks."""
+    sql = spark._jvm.org.apache.spark.sql
     try:
-        avro = avro_type(field.dataType, field.nullable, field.name, namespace)
-    except KeyError:
-        return None
-    return json.dumps(avro, separators=(",", ":"))
+        made = sql.avro.SchemaConverters.toAvroType(sql.types.DataType.fromJson(data_type.json()), nullable, name, namespace)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() in ("IncompatibleSchemaException", "SchemaParseException"):
+            return None
+        raise
+    return made.toString()
 
 
-def schema_fields(schema: T.StructType, namespace: str = "") -> list[dict]:
-    """The ``fields`` entry of a catalog row."""
+def schema_fields(spark: SparkSession, schema: T.StructType, namespace: str = "") -> list[dict]:
+    """The ``fields`` entry of a catalog row: the columns in their order."""
     return [
         {
             "name": f.name,
             "spark_type": f.dataType.simpleString(),
             "nullable": f.nullable,
-            "avro_type": _avro_text(f, namespace),
+            "avro_type": avro_text(spark, f.dataType, f.nullable, f.name, namespace),
         }
         for f in schema.fields
     ]
+
+
+def nested_fields(schema: T.StructType) -> list[dict]:
+    """The ``nested`` entry of a catalog row: columns and all that they hold, parents before children.
+
+    Fields of structs are named ``parent.field``, elements of arrays ``parent.element``, keys and values of
+    maps ``parent.key`` and ``parent.value``; names that hold a dot or a back quote are quoted. The type of
+    a struct, array or map is that word alone, so a change shows at the field that changed and not at
+    all that hold it.
+    """
+
+    def walk(name: str, kind: T.DataType, nullable: bool) -> Iterator[dict]:
+        inner: list[tuple[str, T.DataType, bool]] = []
+        if isinstance(kind, T.StructType):
+            inner = [(_part(f.name), f.dataType, f.nullable) for f in kind.fields]
+        elif isinstance(kind, T.ArrayType):
+            inner = [("element", kind.elementType, kind.containsNull)]
+        elif isinstance(kind, T.MapType):
+            inner = [("key", kind.keyType, False), ("value", kind.valueType, kind.valueContainsNull)]
+        text = kind.typeName() if isinstance(kind, T.StructType | T.ArrayType | T.MapType) else kind.simpleString()
+        yield {"name": name, "spark_type": text, "nullable": nullable, "avro_type": None}
+        for part, own, empty in inner:
+            yield from walk(f"{name}.{part}", own, empty)
+
+    return [x for f in schema.fields for x in walk(_part(f.name), f.dataType, f.nullable)]
+
+
+def _part(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`" if "." in name or "`" in name else name

@@ -69,9 +69,10 @@ def with_lineage(df: DataFrame, parent_uri: str) -> DataFrame:
 
     ``parent_uri`` is the lake's: what follows it in a file's URI is path, version and file name.
     """
-    file_path = F.url_decode(F.col("_metadata.file_path"))
+    # percent-encoded, not form-encoded: a plus sign is a plus sign
+    file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     parent = re.sub("/+", "/", re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", parent_uri))
-    pattern = rf"^([a-zA-Z][\w+.-]*:)?(//[^/]*)?/*\Q{parent.strip('/')}\E(/.+)/(\d+)/[^/]+$"
+    pattern = rf"^([a-zA-Z][\w+.-]*:)?(//[^/]*)?/*\Q{parent.strip('/')}\E(/.+)/(\d+)(?:/\d+-[0-9a-f]+)?/[^/]+$"
     return df.withColumns(
         {
             "path": F.regexp_extract(file_path, pattern, 3),

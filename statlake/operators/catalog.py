@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The file a change event names, for the metadata event and the commit event.
 META_FILE = ".dataset-meta.json"
 COMMIT_FILE = ".dataset-meta.json.sign"
+# The same for the event that a dead write was cleared away.
+DISCARD_FILE = ".dataset-meta.json.discarded"
 
 
 def list_prefix(catalog: DataFrame, prefix: str, *columns: str) -> DataFrame:
@@ -22,7 +24,9 @@ def current_catalog(catalog: DataFrame, snapshot: int = 0) -> DataFrame:
     """The newest committed version of each path, or the newest up to a snapshot (0 = latest)."""
     rows = catalog if snapshot == 0 else catalog.filter(F.col("version") <= snapshot)
     rest = [c for c in catalog.columns if c != "path"]
-    newest = rows.groupBy("path").agg(F.max_by(F.struct(*rest), "version").alias("newest"))
+    # should two attempts ever have one version, the earlier one counts
+    order = F.struct(-F.col("version"), F.col("attempt")) if "attempt" in rest else -F.col("version")
+    newest = rows.groupBy("path").agg(F.min_by(F.struct(*rest), order).alias("newest"))
     return newest.select("path", *[F.col(f"newest.{c}").alias(c) for c in rest])
 
 
@@ -46,15 +50,6 @@ def committed_versions(changes: DataFrame) -> DataFrame:
     )
 
 
-def orphan_versions(changes: DataFrame) -> DataFrame:
-    """Versions announced by a metadata event that never got a commit event."""
-    return (
-        _kinds(changes)
-        .filter((F.col("meta_events") > 0) & (F.col("commit_events") == 0))
-        .select("path", "version")
-    )
-
-
 def change_log(changes: DataFrame) -> DataFrame:
     """Events of each kind and the time of the last one, for each version."""
     return changes.groupBy("path", "version", "kind").agg(

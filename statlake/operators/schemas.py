@@ -10,10 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def schema_rows(catalog: DataFrame) -> DataFrame:
-    """One row for each field of each dataset version."""
+def _fields(catalog: DataFrame, nested: bool) -> Column:
+    """The columns of each version, or all nested fields; bulk-loaded rows may know only the former."""
+    if nested and "nested" in catalog.columns:
+        return F.coalesce("nested", "fields")
+    return F.col("fields")
+
+
+def schema_rows(catalog: DataFrame, nested: bool = False) -> DataFrame:
+    """One row for each column of each dataset version, or with ``nested`` for each field at any depth
+    under its dotted name."""
     return catalog.select(
-        "path", "version", F.posexplode("fields").alias("position", "field")
+        "path", "version", F.posexplode(_fields(catalog, nested)).alias("position", "field")
     ).select("path", "version", "position", "field.name", "field.spark_type", "field.nullable")
 
 
@@ -24,7 +32,8 @@ def _json_string(text: Column) -> Column:
 
 
 def avro_records(catalog: DataFrame, record_name: str = "spark_schema", namespace: str = "") -> DataFrame:
-    """The Avro record of each dataset version as compact JSON text."""
+    """The Avro record of each dataset version as compact JSON text; null for a version with a column
+    that Avro has no type for, so that no record stands for less than its dataset."""
     head = '{"type":"record","name":"' + record_name + '",'
     if namespace:
         head += '"namespace":"' + namespace + '",'
@@ -35,12 +44,13 @@ def avro_records(catalog: DataFrame, record_name: str = "spark_schema", namespac
         ),
     )
     record = F.concat(F.lit(head + '"fields":['), F.array_join(entries, ","), F.lit("]}"))
+    record = F.when(~F.exists("fields", lambda f: f["avro_type"].isNull()), record)
     return catalog.select("path", "version", record.alias("avro"))
 
 
-def schema_diff(catalog: DataFrame, before: int, after: int = 0) -> DataFrame:
-    """How each path's schema changed between two snapshots (0 = latest): one row for each field
-    that was added, removed or changed.
+def schema_diff(catalog: DataFrame, before: int, after: int = 0, nested: bool = False) -> DataFrame:
+    """How each path's schema changed between two snapshots (0 = latest): one row for each column
+    that was added, removed or changed, or with ``nested`` for each field at any depth.
 
     Both snapshots come from one aggregation whose partial results are one row for each path and
     task, so a path with very many versions is no bottleneck.
@@ -48,7 +58,7 @@ def schema_diff(catalog: DataFrame, before: int, after: int = 0) -> DataFrame:
 
     def newest(snapshot: int) -> Column:
         visible = F.lit(True) if snapshot == 0 else F.col("version") <= snapshot
-        return F.max_by("fields", F.when(visible, F.col("version")))
+        return F.max_by(_fields(catalog, nested), F.when(visible, F.col("version")))
 
     pairs = catalog.groupBy("path").agg(newest(before).alias("old"), newest(after).alias("new"))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from statlake.functions.paths import with_lineage
@@ -77,17 +80,39 @@ def _part_entries(spark, sf_dir):
     )
 
 
-def _stored(spark, documents):
-    """The documents after a trip through a lake's table."""
+# Tables that are written with their documents; each row of parts stands for a bulk-loaded document.
+_DOCUMENTED = ("region", "nation", "supplier", "customer", "orders")
+
+
+def _documented(spark, sf_dir, bulk):
+    """The documents of a lake that holds tables written with documentation and lineage, beside a bulk
+    load of other documents."""
     lake = fresh_lake(spark)
-    append_frame(documents, lake.root, "documents")
+    for name in _DOCUMENTED:
+        rows = table(spark, sf_dir, name)
+        fields = [{"name": n, "description": kind} for n, kind in rows.dtypes[:2]]
+        lake.write(
+            rows,
+            f"/tables/{name}",
+            version=7,
+            dataset_doc=json.dumps({"title": name, "fields": fields}),
+            lineage_doc=json.dumps({"sources": [f"/raw/{name}"], "price": float(rows.count())}),
+            **GOVERNED,
+        )
+    append_frame(bulk, lake.root, "documents")
+    lake.compact()
     return lake.documents()
 
 
+def _each_documented(sql):
+    return "".join(f" UNION ALL {sql.format(name=name)}" for name in _DOCUMENTED)
+
+
 @query(
     "documents_meta",
     """SELECT '/parts/' || p_partkey AS path, CAST(1 AS BIGINT) AS version, '/parts/' || p_partkey AS id_path,
-              '1' AS id_version, 'INTERNAL' AS valuation, 'INPUT' AS state, p_brand AS created_by FROM part""",
+              '1' AS id_version, 'INTERNAL' AS valuation, 'INPUT' AS state, p_brand AS created_by FROM part"""
+    + _each_documented("SELECT '/tables/{name}', CAST(7 AS BIGINT), '/tables/{name}', '7', 'INTERNAL', 'INPUT', NULL"),
 )
 def documents_meta(spark, sf_dir):
     documents = _part_entries(spark, sf_dir).select(
@@ -99,7 +124,7 @@ def documents_meta(spark, sf_dir):
         ).alias("json"),
     )
     schema = "id struct<path:string,version:string>, valuation string, state string, createdBy string"
-    return parsed_documents(_stored(spark, documents), "meta", schema).select(
+    return parsed_documents(_documented(spark, sf_dir, documents), "meta", schema).select(
         "path",
         "version",
         F.col("id.path").alias("id_path"),
@@ -114,7 +139,12 @@ def documents_meta(spark, sf_dir):
     "documents_doc",
     """SELECT '/parts/' || p_partkey AS path, p_name AS title, name, description FROM (
          SELECT p_partkey, p_name, 'type' AS name, p_type AS description FROM part
-         UNION ALL SELECT p_partkey, p_name, 'brand', p_brand FROM part)""",
+         UNION ALL SELECT p_partkey, p_name, 'brand', p_brand FROM part)"""
+    + _each_documented(
+        """SELECT '/tables/{name}', '{name}', column_name,
+                  CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END
+           FROM (SELECT *, row_number() OVER () AS n FROM (DESCRIBE SELECT * FROM {name})) WHERE n <= 2"""
+    ),
 )
 def documents_doc(spark, sf_dir):
     entries = _part_entries(spark, sf_dir).select(
@@ -128,7 +158,7 @@ def documents_doc(spark, sf_dir):
     )
     documents = documents_of(entries, "doc", "title", "fields")
     schema = "title string, fields array<struct<name:string,description:string>>"
-    return parsed_documents(_stored(spark, documents), "doc", schema).select(
+    return parsed_documents(_documented(spark, sf_dir, documents), "doc", schema).select(
         "path", "title", F.inline("fields")
     )
 
@@ -136,7 +166,8 @@ def documents_doc(spark, sf_dir):
 @query(
     "documents_lineage",
     """SELECT '/parts/' || p_partkey AS path, '/suppliers/' || p_size AS source_path, p_retailprice AS price
-       FROM part""",
+       FROM part"""
+    + _each_documented("SELECT '/tables/{name}', '/raw/{name}', CAST(count(*) AS DOUBLE) FROM {name}"),
 )
 def documents_lineage(spark, sf_dir):
     entries = _part_entries(spark, sf_dir).select(
@@ -146,7 +177,7 @@ def documents_lineage(spark, sf_dir):
         F.col("p_retailprice").alias("price"),
     )
     documents = documents_of(entries, "lineage", "sources", "price")
-    content = parsed_documents(_stored(spark, documents), "lineage", "sources array<string>, price double")
+    content = parsed_documents(_documented(spark, sf_dir, documents), "lineage", "sources array<string>, price double")
     return content.select("path", F.explode("sources").alias("source_path"), "price")
 
 
@@ -158,15 +189,22 @@ _STATE = "CASE o_orderstatus WHEN 'F' THEN 'OUTPUT' WHEN 'O' THEN 'INPUT' ELSE '
 @query(
     "catalog_current",
     f"""SELECT '/customers/' || o_custkey AS path, max(o_orderkey) AS version,
-               arg_max({_STATE}, o_orderkey) AS state FROM orders GROUP BY o_custkey""",
+               arg_max({_STATE}, o_orderkey) AS state FROM orders GROUP BY o_custkey
+        UNION ALL SELECT '/tables/nation', CAST(5 AS BIGINT), 'OUTPUT'
+        UNION ALL SELECT '/tables/region', CAST(3 AS BIGINT), 'INPUT'""",
 )
 def catalog_current(spark, sf_dir):
+    lake = fresh_lake(spark)
+    for name, version, state in (("nation", 2, "RAW"), ("nation", 5, "OUTPUT"), ("region", 3, "INPUT")):
+        lake.write(table(spark, sf_dir, name), f"/tables/{name}", version=version, valuation="INTERNAL", state=state)
     entries = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("/customers/"), F.col("o_custkey").cast("string")).alias("path"),
         F.col("o_orderkey").alias("version"),
         F.expr(_STATE).alias("state"),
     )
-    return catalog_ops.current_catalog(entries)
+    append_frame(entries, lake.root, "catalog")
+    lake.compact()
+    return catalog_ops.current_catalog(lake.catalog()).select("path", "version", "state")
 
 
 _EVENTS_SQL = """
@@ -192,31 +230,60 @@ def event_changes(spark, sf_dir):
     return changes.withColumn("uri", F.concat_ws("/", "path", F.col("version").cast("string"), "kind"))
 
 
+# A committed version without a catalog row: a writer that died between the two.
+_UNCATALOGUED = "version % 7 = 0"
+
+
+def _eventful_lake(spark, sf_dir):
+    """A lake with the user events as bulk-loaded change events, catalog rows of the versions they commit
+    but for some, two tables written, and a write that fails."""
+    lake = fresh_lake(spark)
+    for name in ("nation", "orders"):
+        lake.write(table(spark, sf_dir, name), f"/tables/{name}", version=7, **GOVERNED)
+    broken = table(spark, sf_dir, "region").withColumn("r_name", F.expr("raise_error(concat('broken ', r_name))").cast("string"))
+    try:
+        lake.write(broken, "/tables/region", version=7, **GOVERNED)
+    except PySparkException:
+        pass
+    changes = event_changes(spark, sf_dir)
+    append_frame(changes, lake.root, "changes")
+    done = catalog_ops.committed_versions(changes).filter(f"NOT {_UNCATALOGUED}")
+    append_frame(done, lake.root, "catalog")
+    lake.compact()
+    return lake
+
+
+_WRITTEN_SQL = """
+  SELECT '/tables/' || name AS path, CAST(7 AS BIGINT) AS version, kind
+  FROM (VALUES ('nation', 'meta'), ('nation', 'commit'), ('orders', 'meta'), ('orders', 'commit'), ('region', 'meta')) AS t(name, kind)"""
+_ALL_EVENTS_SQL = f"({_EVENTS_SQL} UNION ALL {_WRITTEN_SQL})"
+
+
 @query(
     "committed_versions",
-    f"""SELECT path, version FROM ({_EVENTS_SQL}) GROUP BY path, version
+    f"""SELECT path, version FROM {_ALL_EVENTS_SQL} GROUP BY path, version
         HAVING count(*) FILTER (kind = 'meta') > 0 AND count(*) FILTER (kind = 'commit') > 0""",
 )
 def committed_versions(spark, sf_dir):
-    return catalog_ops.committed_versions(event_changes(spark, sf_dir))
+    return catalog_ops.committed_versions(_eventful_lake(spark, sf_dir).changes())
 
 
 @query(
     "orphan_versions",
-    f"""SELECT DISTINCT path, version FROM ({_EVENTS_SQL}) WHERE kind = 'meta'
-        EXCEPT SELECT path, version FROM ({_EVENTS_SQL}) WHERE kind = 'commit'""",
+    f"""SELECT path, version FROM {_ALL_EVENTS_SQL} GROUP BY path, version
+        HAVING count(*) FILTER (kind = 'meta') > 0
+            AND (count(*) FILTER (kind = 'commit') = 0 OR ({_UNCATALOGUED} AND path LIKE '/users/%'))""",
 )
 def orphan_versions(spark, sf_dir):
-    return catalog_ops.orphan_versions(event_changes(spark, sf_dir))
+    return _eventful_lake(spark, sf_dir).orphans()
 
 
 @query(
     "change_log",
-    f"SELECT path, version, kind, count(*) AS events FROM ({_EVENTS_SQL}) GROUP BY path, version, kind",
+    f"SELECT path, version, kind, count(*) AS events FROM {_ALL_EVENTS_SQL} GROUP BY path, version, kind",
 )
 def change_log(spark, sf_dir):
-    lake = fresh_lake(spark)
-    append_frame(event_changes(spark, sf_dir), lake.root, "changes")
+    lake = _eventful_lake(spark, sf_dir)
     return catalog_ops.change_log(lake.changes()).select("path", "version", "kind", "events")
 
 
