@@ -9,12 +9,9 @@ The pseudorandom function is SHA-256(key, round, length, other half). ``xxhash64
 only folds the digest into BIGINT words, which is several times faster inside the JVM than parsing
 hex text. A word is reduced modulo at most 10^9 or a power of two, so no usable bias is left.
 
-Two forms of the same function are built here as SQL text:
-
-* the *staged* form (``staged``), a chain of named projections that code generation compiles; used
-  on DataFrames by ``statlake.operators.pseudonymize``;
-* the *single* form (``single_expression``), one expression with lambdas; used as the body of SQL
-  functions, and for strings whose halves exceed one block.
+The functions are built here as SQL text, as a chain of named projections that code generation
+compiles (``staged``); strings whose halves exceed one block take one expression with lambdas inside
+the same chain. ``statlake.functions.cipher_arrow`` has the same ciphers for SQL functions.
 """
 
 from __future__ import annotations
@@ -22,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import hmac
-import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -359,32 +355,6 @@ def _string_single(radix: Radix, x: str, key: str, restore: bool) -> str:
     return _let("p", members, f"CASE WHEN length(p) = 0 THEN {x} ELSE {enciphered} END")
 
 
-def single_expression(kind: str, alphabet: str, x: str, key: str, restore: bool) -> str:
-    """SQL text of a whole cipher; ``x`` and ``key`` are names of the input and the key."""
-    if kind == "boolean":
-        return _boolean(x, key)
-    if kind == "string":
-        return _string_single(Radix(alphabet), x, key, restore)
-    spec = NUMERIC[kind]
-    aux = spec.aux.format(x=x) if spec.aux else "0"
-    a, b = (text.format(x=x, aux="u") for text in (spec.a, spec.b))
-
-    def digest(other: str) -> str:
-        return f"sha2(concat(s.k, i, '0|', s.{other}), 256)"
-
-    size_a, size_b = f"{spec.size_a}L", f"{spec.size_b}L"
-    even = _shifted("s.a", _small_word(digest("b"), size_a), size_a, restore)
-    odd = _shifted("s.b", _small_word(digest("a"), size_b), size_b, restore)
-    order = f"sequence({ROUNDS - 1}, 0)" if restore else f"sequence(0, {ROUNDS - 1})"
-    rounds = (
-        f"aggregate({order}, named_struct('k', {key}, 'a', {a}, 'b', {b}), (s, i) -> "
-        f"IF(i % 2 = 0, named_struct('k', s.k, 'a', {even}, 'b', s.b), "
-        f"named_struct('k', s.k, 'a', s.a, 'b', {odd})), "
-        f"s -> {spec.join.format(x=x, a='s.a', b='s.b', aux='u')})"
-    )
-    return f"CASE WHEN {x} IS NOT NULL THEN {_let('u', aux, rounds)} END"
-
-
 # ---------------------------------------------------------------------------------------------
 # Staged form
 # ---------------------------------------------------------------------------------------------
@@ -401,14 +371,6 @@ class Staged:
     def at(self, k: int) -> dict[str, str]:
         return self.stages[k] if k < len(self.stages) else {}
 
-    def readers(self) -> list[set[str]]:
-        """For each stage the words in what follows it, columns among them."""
-        texts = [" ".join(stage.values()) for stage in self.stages[1:]] + [self.result]
-        found: list[set[str]] = []
-        for text in reversed(texts):
-            found.append(set(re.findall(r"\w+", text)) | (found[-1] if found else set()))
-        return found[::-1]
-
 
 def staged(kind: str, alphabet: str, x: str, key: str, prefix: str, restore: bool) -> Staged:
     """Stages of one column; ``prefix`` keeps the working columns of several ciphers apart."""

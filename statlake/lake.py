@@ -26,7 +26,13 @@ from statlake.functions.paths import check_path
 from statlake.operators import access
 from statlake.operators.catalog import COMMIT_FILE, DISCARD_FILE, META_FILE, list_prefix
 from statlake.operators.documents import meta_json
-from statlake.operators.pseudonymize import depseudonymize, pseudonymize
+from statlake.operators.pseudonymize import (
+    column_names,
+    depseudonymize,
+    pseudonymize,
+    quoted,
+    tokens_of,
+)
 from statlake.sources import tables
 from statlake.sources.store import Store, Turn, age_s, new_id
 
@@ -149,11 +155,20 @@ class Lake:
 
     # -- read --------------------------------------------------------------------------------
 
-    def read(self, path: str, snapshot: int = 0, pseudo: str | None = None) -> DataFrame:
+    def read(
+        self,
+        path: str,
+        snapshot: int = 0,
+        pseudo: str | None = None,
+        where: Mapping[str, object] | None = None,
+    ) -> DataFrame:
         """The newest committed version of a dataset, or the newest up to a snapshot (0 = latest).
 
         A path that ends in ``*`` lists the catalog instead. ``pseudo`` names columns to restore:
         ``col1;col2`` uses the functions stored with the version, ``col1=f(key)`` the given one.
+        ``where`` keeps the rows whose columns equal a value, or one of a list; None stands for null. For a
+        restored column it gives plain values: they are enciphered once, so the scan is asked for
+        their tokens and skips files and row groups by them, and only the rows found are restored.
         """
         path = check_path(path, reading=True)
         if path.endswith("*"):
@@ -163,11 +178,23 @@ class Lake:
         if entry["schema_json"] is not None:  # bulk-loaded rows may come without
             reader = reader.schema(T.StructType.fromJson(json.loads(entry["schema_json"])))
         df = reader.parquet(_folder(entry["parent_uri"], path, entry["version"], entry["attempt"]))
-        if pseudo is None:
-            return df
-        policy = self._restoring_policy(path, entry["version"], pseudo)
+        policy = [] if pseudo is None else self._restoring_policy(path, entry["version"], pseudo)
+        for column, wanted in (where or {}).items():
+            df = self._where(df, column, wanted, policy)
         return depseudonymize(df, policy, self.keys)
 
+    def _where(self, df: DataFrame, column: str, wanted: object, policy: list[tuple[str, str]]) -> DataFrame:
+        """The rows in which a column has one of the wanted values, compared as it is stored."""
+        values = list(wanted) if isinstance(wanted, list | tuple | set) else [wanted]
+        plain = [v for v in values if v is not None]
+        same = column_names(df)
+        function = {same(var): f for var, f in policy}.get(same(column))
+        stored = F.col(quoted(same(column)))
+        if function is not None and plain:
+            plain = tokens_of(self.spark, df.schema[same(column)].dataType, function, plain, self.keys)
+        equal = stored == F.lit(plain[0]) if len(plain) == 1 else stored.isin(plain)
+        return df.filter(equal | stored.isNull() if len(plain) < len(values) else equal)
+
     def resolve(self, path: str, snapshot: int = 0) -> Mapping:
         """The catalog row of the version that a read would see."""
         rows = self._table("catalog", path)

@@ -28,25 +28,56 @@ def _covers(valuation: Column, state: Column) -> Column:
     )
 
 
+# Grants of one user that are tested inside the row; more are met by joins.
+IN_ROW = 10_000
+
+
 def accessible(catalog: DataFrame, grants: DataFrame, user: str, privilege: str = "READ") -> DataFrame:
     """Catalog rows that a grant of the user covers.
 
-    Each path is exploded into its few ancestor prefixes, so the prefix test becomes an equi-join
-    on the prefix instead of comparing every dataset with every grant. One plan for all sizes:
-    adaptive execution broadcasts few grants and splits a prefix that covers most of the rows.
+    A user's grants are few: they become one map from prefix to what it grants, a scalar that is
+    looked up with the row's own ancestors, so no catalog row moves and none comes out twice. More
+    than ``IN_ROW`` of them, which only a count of the user's rows can tell, take the joins of
+    ``_accessible_by_joins``.
     """
     mine = (
         grants.filter((F.col("user") == user) & (F.col("privilege") == privilege))
         .select("path_prefix", "max_valuation", "states")
         .distinct()
     )
-    keyed = catalog.withColumn("ancestor", F.explode(ancestors(F.col("path"))))
-    condition = (F.col("ancestor") == F.col("path_prefix")) & _covers(
-        F.col("valuation"), F.col("state")
+    if mine.limit(IN_ROW + 1).count() > IN_ROW:
+        return _accessible_by_joins(catalog, mine)
+    by_prefix = mine.groupBy("path_prefix").agg(F.collect_list(F.struct("max_valuation", "states")).alias("given"))
+    entries = F.collect_list(F.struct("path_prefix", "given"))
+    given = by_prefix.agg(F.map_from_entries(entries).alias("m")).scalar()
+
+    def grants_it(g: Column) -> Column:
+        return (valuation_rank(F.col("valuation")) <= valuation_rank(g["max_valuation"])) & (
+            g["states"].isNull() | F.array_contains(g["states"], F.col("state"))
+        )
+
+    # lambdas may hold no subquery, so the map is a column of its own until the filter is done
+    keyed = catalog.withColumn("__given", given)
+    covered = F.exists(
+        ancestors(F.col("path")),
+        lambda prefix: F.exists(F.coalesce(F.try_element_at(F.col("__given"), prefix), F.array()), grants_it),
+    )
+    return keyed.filter(covered).drop("__given")
+
+
+def _accessible_by_joins(catalog: DataFrame, mine: DataFrame) -> DataFrame:
+    """The same for any number of grants: each distinct (path, valuation, state) is met with the grants
+    by its ancestors, and the catalog keeps the rows whose combination is covered."""
+    kinds = catalog.select("path", "valuation", "state").distinct()
+    keyed = kinds.withColumn("ancestor", F.explode(ancestors(F.col("path"))))
+    condition = (F.col("ancestor") == F.col("path_prefix")) & _covers(F.col("valuation"), F.col("state"))
+    hits = keyed.join(mine, condition, "left_semi").select("path", "valuation", "state").distinct()
+    same = (
+        (F.col("c.path") == F.col("h.path"))
+        & (F.col("c.valuation") == F.col("h.valuation"))
+        & F.col("c.state").eqNullSafe(F.col("h.state"))
     )
-    hits = keyed.join(mine, condition, "left_semi")
-    # a dataset that several of its ancestors cover comes out once
-    return hits.dropDuplicates(["path", "version"]).select(*catalog.columns)
+    return catalog.alias("c").join(hits.alias("h"), same, "left_semi").select(*catalog.columns)
 
 
 def may_access(

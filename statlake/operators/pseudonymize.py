@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statlake.errors import PolicyError
 from statlake.functions import cipher
+from statlake.functions.cipher_arrow import sql_function
 from statlake.functions.policy import UNDEFINED, parse_declaration, parse_policy
 
 Policy = str | Mapping[str, str] | list[tuple[str, str]]
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def column_names(df: DataFrame) -> Callable[[str], str]:
+    """How the session resolves a name to one of the columns; names of none come back as they are."""
+    exact = set(df.columns)
+    caseless = df.sparkSession.conf.get("spark.sql.caseSensitive") != "true"
+    spelled = {c.lower(): c for c in df.columns} if caseless else {}
+    return lambda name: name if name in exact else spelled.get(name.lower(), name)
+
+
 def resolve_function(function: str) -> tuple[str, str]:
     """``(alphabet, key id)`` of a function declaration."""
     name, args = parse_declaration(function)
@@ -61,9 +71,9 @@ def _transform(
     types = {f.name: f.dataType for f in df.schema.fields}
     derived: dict[str, str] = {}
     plans: dict[str, cipher.Staged] = {}
-    spelled = {} if spark.conf.get("spark.sql.caseSensitive") == "true" else {c.lower(): c for c in types}
+    same = column_names(df)
     for var, function in mappings:
-        var = var if var in types else spelled.get(var.lower(), var)
+        var = same(var)
         if var not in types:
             raise PolicyError(f"the policy names column '{var}', which the data does not have")
         if function == UNDEFINED:
@@ -75,32 +85,27 @@ def _transform(
         key = cipher.derive_key(keys[key_id], cipher.key_domain(kind, alphabet))
         key_column = derived.setdefault(key, f"__key{len(derived)}")
         plans[var] = cipher.staged(
-            kind, alphabet, _quoted(var), key_column, f"__fpe{len(plans)}_", restore
+            kind, alphabet, quoted(var), key_column, f"__fpe{len(plans)}_", restore
         )
 
     key_frame = _key_frame(spark, list(derived))
     frame = df.withColumns(
         {name: key_frame.select(f"k{i}").scalar() for i, name in enumerate(derived.values())}
     )
-    # one projection for each stage of all columns; a working column goes when no later stage reads it
-    working: list[str] = []
-    readers = [plan.readers() for plan in plans.values()]
+    # one projection for each stage of all columns; Spark prunes working columns that no later stage reads
     for k in range(max(len(plan.stages) for plan in plans.values())):
-        made = {name: text for plan in plans.values() for name, text in plan.at(k).items()}
-        later = set().union(*(words[min(k, len(words) - 1)] for words in readers))
-        working = [name for name in dict.fromkeys([*working, *made]) if name in later]
-        kept = [F.col(_quoted(c)) for c in [*df.columns, *derived.values(), *(w for w in working if w not in made)]]
-        frame = frame.select(*kept, *[F.expr(made[name]).alias(name) for name in working if name in made])
+        made = {name: F.expr(text) for plan in plans.values() for name, text in plan.at(k).items()}
+        frame = frame.withColumns(made)
     tokens = [F.expr(plan.result).alias(f"__token{i}") for i, plan in enumerate(plans.values())]
-    frame = frame.select(*[F.col(_quoted(c)) for c in df.columns], *tokens)
-    tokens = [F.col(f"__token{i}").alias(var) for i, var in enumerate(plans)]
+    frame = frame.select(*[F.col(quoted(c)) for c in df.columns if c not in plans], *tokens)
     # Spark moves a filter below projections by writing their expressions into it, and every round
     # uses the one before twice: a filter or join on a token would repeat the rounds hundreds of
-    # times. It moves no filter on a generated column below its generator, while filters on all
-    # other columns still reach the scan.
-    others = [F.col(_quoted(c)) for c in df.columns if c not in plans]
-    frame = frame.select(*others, F.inline_outer(F.array(F.struct(*tokens))))
-    return frame.select(*[F.col(_quoted(c)) for c in df.columns])
+    # times. It moves no filter on a generated column below its generator, so each token depends on
+    # one, the constant that a generator of one row makes; filters on all other columns still reach
+    # the scan, and columns that nobody asks for are pruned below the generator, ciphers and all.
+    frame = frame.select("*", F.explode(F.array(F.lit(True))).alias("__once"))
+    shown = {var: F.when(F.col("__once"), F.col(f"__token{i}")).alias(var) for i, var in enumerate(plans)}
+    return frame.select(*[shown[c] if c in shown else F.col(quoted(c)) for c in df.columns])
 
 
 def function_name(declaration: str, restore: bool, type_name: str) -> str:
@@ -110,26 +115,14 @@ def function_name(declaration: str, restore: bool, type_name: str) -> str:
     return f"pseudo_{declaration}_{direction}_{type_name}_udf".lower()
 
 
-# SQL type of each registered variant.
-_SQL_TYPES = {
-    "string": "STRING",
-    "long": "BIGINT",
-    "integer": "INT",
-    "double": "DOUBLE",
-    "float": "FLOAT",
-    "boolean": "BOOLEAN",
-    "date": "DATE",
-    "timestamp": "TIMESTAMP",
-}
-
-
 def register_functions(
     spark: SparkSession, declarations: list[str], keys: Mapping[str, str]
 ) -> list[str]:
     """Register every declaration as temporary SQL functions, one for each of the eight types and
     both directions, and return their names. Call them in SQL with back quotes.
 
-    The functions are SQL functions that Spark inlines, so queries run without Python workers.
+    They are vectorized Python functions whose closures hold derived keys, so that a session that may
+    call them sees no key anywhere.
     """
     names = []
     for text in declarations:
@@ -138,30 +131,20 @@ def register_functions(
         if key_id not in keys:
             raise PolicyError(f"no key '{key_id}' is known")
         canonical = f"{base}({','.join(args)})"
-        domains = [cipher.key_domain(kind, alphabet) for kind in cipher.TYPE_NAMES]
-        view = f"pseudo_keys_{canonical}".lower()
-        _key_frame(spark, [cipher.derive_key(keys[key_id], d) for d in domains]).createOrReplaceTempView(
-            _quoted(view)
-        )
-        for i, kind in enumerate(cipher.TYPE_NAMES):
+        for kind in cipher.TYPE_NAMES:
+            key = cipher.derive_key(keys[key_id], cipher.key_domain(kind, alphabet))
             for restore in (False, True):
                 name = function_name(canonical, restore, kind)
-                _create_function(spark, name, kind, alphabet, f"SELECT k{i} FROM {_quoted(view)}", restore)
+                spark.udf.register(name, sql_function(kind, alphabet, key, restore))
                 names.append(name)
     return names
 
 
-def _create_function(
-    spark: SparkSession, name: str, kind: str, alphabet: str, key_query: str, restore: bool
-) -> None:
-    sql_type = _SQL_TYPES[kind]
-    body = f"__fpe_{'restore' if restore else 'apply'}_{kind}_{len(alphabet)}"
-    # Lambdas may not hold subqueries: the key query is the argument of an inner function.
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {body}(x {sql_type}, k STRING) RETURNS {sql_type} "
-        f"RETURN {cipher.single_expression(kind, alphabet, 'x', 'k', restore)}"
-    )
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {_quoted(name)}(x {sql_type}) RETURNS {sql_type} "
-        f"RETURN {body}(x, ({key_query}))"
-    )
+def tokens_of(
+    spark: SparkSession, data_type: T.DataType, function: str, values: list, keys: Mapping[str, str]
+) -> list:
+    """The tokens that a function makes of constants of a type, for predicates on stored columns."""
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("x", data_type)])
+    rows = spark.createDataFrame(list(enumerate(values)), schema).coalesce(1)
+    made = pseudonymize(rows, [("x", function)], keys).collect()
+    return [r["x"] for r in sorted(made, key=lambda r: r["i"])]

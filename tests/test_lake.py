@@ -15,6 +15,7 @@ from statlake.errors import (
     VersionExists,
 )
 from statlake.functions.paths import with_lineage
+from statlake.operators import access
 from statlake.operators.catalog import committed_versions, current_catalog
 from statlake.sources import tables
 
@@ -192,14 +193,22 @@ def test_access(lake, spark, ships, governed):
     assert seen == [("/a/b", 1), ("/a/b", 2)]
 
 
-def test_access_has_one_plan(lake, ships, governed):
+def test_access_moves_no_catalog_row(lake, ships, governed, monkeypatch):
     for path in ("/a/b", "/a/c", "/d"):
-        lake.write(ships, path, version=1, **governed)
+        for version in (1, 2):
+            lake.write(ships, path, version=version, **governed)
     lake.grant("bob", "/a")
     lake.grant("bob", "/a/b")
+    lake.grant("bob", "/d", max_valuation="OPEN")
     visible = lake.accessible("bob")
-    assert sorted(r["path"] for r in visible.collect()) == ["/a/b", "/a/c"]
-    assert "ResolvedHint" not in visible._jdf.queryExecution().analyzed().toString()
+    seen = sorted((r["path"], r["version"]) for r in visible.collect())
+    assert seen == [("/a/b", 1), ("/a/b", 2), ("/a/c", 1), ("/a/c", 2)]
+    plan = visible._jdf.queryExecution().executedPlan().toString()
+    rows = plan[: plan.index("Subquery")] if "Subquery" in plan else plan
+    assert not any(x in rows for x in ("Exchange", "Join", "HashAggregate", "Generate"))
+    monkeypatch.setattr(access, "IN_ROW", 2)  # more grants than are tested inside the row
+    assert sorted((r["path"], r["version"]) for r in lake.accessible("bob").collect()) == seen
+    assert lake.accessible("nobody").isEmpty()
 
 
 def test_user_sees_only_what_is_granted(lake, spark, ships, governed):
@@ -229,6 +238,30 @@ def test_pseudonymized_dataset(lake, ships, governed):
     assert entries == [(0, "ship", "fpe-text(key1)"), (1, "PORT", "fpe-digits(key2)")]
 
 
+def test_predicates_on_restored_columns_reach_the_scan(lake, spark, governed):
+    rows = spark.range(200).selectExpr("id", "lpad(id % 50, 11, '0') AS fnr", "nullif(id % 5, 4) AS kind", "concat('Name ', id) AS name")
+    lake.write(rows, "/people", pseudo="fnr=fpe-fnr(key1);kind=fpe-digits(key1);name=fpe-text(key2)", **governed)
+
+    def found(**where):
+        return sorted(map(tuple, lake.read("/people", pseudo="fnr;kind;name", where=where).collect()))
+
+    def plain(condition):
+        return sorted(map(tuple, rows.filter(condition).collect()))
+
+    assert found(fnr="00000000007") == plain("fnr = '00000000007'") and len(found(fnr="00000000007")) == 4
+    assert found(Fnr=["00000000007", "00000000008"], kind=2) == plain("fnr IN ('00000000007', '00000000008') AND kind = 2")
+    assert found(kind=[1, None]) == plain("kind = 1 OR kind IS NULL") and found(kind=None) == plain("kind IS NULL")
+    assert found(id=[3, 4], name="Name 4") == plain("id = 4") and found(name=[]) == []
+    assert lake.read("/people", where={"id": 5}).count() == 1
+    token = lake.read("/people").filter("id = 7").first()["fnr"]
+    df = lake.read("/people", pseudo="fnr;kind;name", where={"fnr": "00000000007"})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(fnr,{token})" in plan[plan.index("PushedFilters") :]
+    both = lake.read("/people", pseudo="fnr", where={"fnr": ["00000000007", "00000000008"]}).select("id")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "In(fnr, [" in plan and "sha2" not in plan
+
+
 def test_lookup_reads_one_bucket(lake, ships, governed):
     for i in range(4):
         lake.write(ships, f"/a/{i}x", version=1, **governed)
