@@ -51,18 +51,14 @@ def test_declarations(spark):
 
 
 def test_json(spark):
-    text = (
-        '[{"var":"col1","pseudoFunc":"func1()"},{"var":"col2","pseudoFunc":"func2(someParam)"},'
-        '{"var":"col3","pseudoFunc":"undefined"}]'
-    )
-    option = " ;  col1=func1;col2=func2(someParam);; ; col3;;        ;    "
-    rows = spark.createDataFrame([(0, option), (1, "")], "id int, o string")
+    text = '[{"var":"mast","pseudoFunc":"sail(red,2)"},{"var":"keel","pseudoFunc":"undefined"},{"var":"port","pseudoFunc":"moor()"}]'
+    rows = spark.createDataFrame([(0, "mast = sail( red , 2 );;keel; port=moor ;"), (1, "")], "id int, o string")
     made = rows.select("id", grammar.to_policy_json(grammar.parse_option(F.col("o"))).alias("j"))
     assert {r["id"]: r["j"] for r in made.collect()} == {0: text, 1: "[]"}
-    texts = spark.createDataFrame([(0, text), (1, "gibberish"), (2, None), (3, "[]")], "id int, j string")
+    texts = spark.createDataFrame([(0, text), (1, "{broken"), (2, None), (3, "[]")], "id int, j string")
     policies = texts.select("id", grammar.from_policy_json(F.col("j")).alias("p"))
     variables = policies.select("id", grammar.policy_vars(F.col("p")).alias("v"))
-    assert {r["id"]: r["v"] for r in variables.collect()} == {0: ["col1", "col2", "col3"], 1: [], 2: [], 3: []}
+    assert {r["id"]: r["v"] for r in variables.collect()} == {0: ["mast", "keel", "port"], 1: [], 2: [], 3: []}
 
 
 def test_lookups(spark):
