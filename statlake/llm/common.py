@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +62,29 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(*frames: DataFrame) -> None:
+    """Remove the tables of `materialize` that nothing reads any more, and the shuffle files of finished
+    steps, which Spark removes when the driver's garbage that names them is collected."""
+    for frame in frames:
+        for path in {f.rsplit("/part-", 1)[0] for f in frame.inputFiles()}:
+            place = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(unquote(path))
+            place.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+    gc.collect()
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()
+
+
+#: Ids by which a table is narrowed with a broadcast; more of them are met by a join.
+BROADCAST_IDS = 2_000_000
+
+
+def narrowed(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows whose id is among the distinct ids (a table of `materialize`): where they are if the ids are
+    few, so that texts nobody asks for are not shuffled."""
+    few = ids.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, column, "left_semi")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import materialize
+from statlake.llm.common import let_go, materialize
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -39,7 +39,8 @@ def contract(links: DataFrame, rounds: int | None = None) -> DataFrame:
     edges = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b"))
     done = 0
     while done != rounds and not _stars(edges):
-        edges = materialize(_small_star(_large_star(edges)).distinct())
+        before, edges = edges, materialize(_small_star(_large_star(edges)).distinct())
+        let_go(before)
         done += 1
     return edges
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import hashed_words, materialize, mix, seeds, ship, slices
+from statlake.llm.common import hashed_words, let_go, materialize, mix, narrowed, seeds, ship, slices
 from statlake.llm.components import components, contract, labels
 
 #: Bands and rows: a pair at similarity 0.8 shares no band with probability 6e-6.
@@ -185,7 +185,8 @@ def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     wanted = pairs.withColumnRenamed("b", "hub").join(hubs, "hub")
     wanted = wanted.select("hub", F.col("a").alias("doc"), F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"))
     own = hubs.select("hub", F.col("hub").alias("doc"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    rows = wanted.unionByName(own).join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc")
+    asked = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
+    rows = wanted.unionByName(own).join(narrowed(texts.select(F.col("doc_id").alias("doc"), "text"), asked, "doc"), "doc")
     return rows.groupBy("hub", "part").applyInPandas(lambda star: _verified(star, k, percent), "a long, b long")
 
 
@@ -198,20 +199,27 @@ def _across(kept: DataFrame, crowded: DataFrame, first: DataFrame, texts: DataFr
     components are one. What comes out is linear in the members.
     """
     own = materialize(kept.join(first.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "sign", F.coalesce("component", "doc").alias("comp")))
-    labelled = crowded.select("key", "doc").join(own, "doc")
+    # two sums of hashes tell sets of members apart: a set that many bands put together is compared once
+    hashed = lambda seed: F.sum(F.xxhash64(F.lit(seed), "doc").cast("decimal(20,0)")).alias(f"h{seed}")
     mixed = (
         crowded.select("key", "doc").join(own.select("doc", "comp"), "doc").groupBy("key")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), hashed(1), hashed(2))
         .filter("lo < hi and n > 2")
+        .groupBy("n", "h1", "h2")
+        .agg(F.min("key").alias("key"))
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
     )
+    # ids first: only what is compared meets its sketch
     placed = (
-        labelled.join(mixed, "key")
+        crowded.select("key", "doc").join(mixed, "key")
         .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("parts").cast("long")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("key", "comp", "sign", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .select("key", "doc", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .join(own, "doc")
+        .select("key", "comp", "sign", "block", "i", "j")
     )
-    clusters = components(placed.groupBy("key", "i", "j").applyInPandas(_kin, "a long, b long"))
+    clusters = materialize(components(placed.groupBy("key", "i", "j").applyInPandas(_kin, "a long, b long")))
+    let_go(crowded)
     members = own.join(clusters.select(F.col("node").alias("comp"), F.col("component").alias("cluster")), "comp")
     sizes = members.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("cluster").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("most"))
@@ -221,7 +229,9 @@ def _across(kept: DataFrame, crowded: DataFrame, first: DataFrame, texts: DataFr
         F.ceil(F.col("all") / BLOCK).cast("int").alias("wide"),
         F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("asking"),
     )
-    members = members.join(sizes, "cluster").join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc")
+    members = materialize(members.join(sizes, "cluster"))
+    asked = materialize(members.select("doc").distinct())
+    members = members.join(narrowed(texts.select(F.col("doc_id").alias("doc"), "text"), asked, "doc"), "doc")
     at = lambda n: F.pmod(F.xxhash64("doc"), F.col(n).cast("long")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     shape = ["cluster", "doc", "comp", "sign", "text"]
@@ -269,7 +279,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     crowded = materialize(entries.join(buckets, "key"))
     hubs = F.when(F.col("doc") < F.col("hi"), F.array("lo", "hi")).otherwise(F.array("lo"))
     stars = crowded.filter("doc > lo").select(F.col("doc").alias("a"), F.explode(hubs).alias("b")).distinct()
-    found = materialize(_confirm(materialize(_close(stars, kept)), texts, k, percent))
+    close = materialize(_close(stars, kept))
+    let_go()
+    found = materialize(_confirm(close, texts, k, percent))
+    let_go(close)
     # two rounds leave few labels; what they leave apart is joined at the end
     merged = contract(found, rounds=2)
     more = _across(kept, crowded, labels(merged), texts, k, percent)
@@ -277,6 +290,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     several = members.groupBy("doc_id").agg(F.min("doc").alias("b"), F.max("doc").alias("a")).filter("b < a")
     several = members.join(several.select("doc_id", "b"), "doc_id").select(F.col("doc").alias("a"), "b")
     whole = components(merged.unionByName(more).unionByName(several))
+    let_go(kept, found)
     members = members.groupBy("doc_id").agg(F.min("doc").alias("node")).join(whole, "node", "left")
     groups = members.select("doc_id", F.coalesce("component", "node").alias("component"))
     return (
