@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 from py4j.protocol import Py4JJavaError
@@ -13,8 +14,9 @@ def avro_text(spark: SparkSession, data_type: T.DataType, nullable: bool, name:
     """Avro form of a Spark type as JSON text, by Spark's own converter; null if it holds a type or a name that
     Avro lacks."""
     sql = spark._jvm.org.apache.spark.sql
+    text = re.sub('"string collate [^"]*"', '"string"', data_type.json())  # a collation is not part of a value
     try:
-        made = sql.avro.SchemaConverters.toAvroType(sql.types.DataType.fromJson(data_type.json()), nullable, name, namespace)
+        made = sql.avro.SchemaConverters.toAvroType(sql.types.DataType.fromJson(text), nullable, name, namespace)
     except Py4JJavaError as error:
         if error.java_exception.getClass().getSimpleName() in ("IncompatibleSchemaException", "SchemaParseException"):
             return None

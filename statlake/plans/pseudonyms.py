@@ -148,6 +148,21 @@ def pseudo_join_consistency(spark, sf_dir):
     return joined.groupBy("c_mktsegment").agg(F.sum("n").alias("n"))
 
 
+@query(
+    "pseudo_read_where",
+    """SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
+       WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey = 7""",
+)
+def pseudo_read_where(spark, sf_dir):
+    """Predicates on restored columns, which reach the scan as tokens."""
+    lake = fresh_lake(spark)
+    policy = "c_name=fpe-text(key1);c_nationkey=fpe-digits(key1);c_mktsegment=fpe-alphanumeric(key2)"
+    lake.write(table(spark, sf_dir, "customer"), "/tables/customer", valuation="SENSITIVE", state="RAW", pseudo=policy)
+    where = {"c_mktsegment": ["BUILDING", "MACHINERY"], "c_nationkey": 7}
+    found = lake.read("/tables/customer", pseudo="c_name;c_nationkey;c_mktsegment", where=where)
+    return found.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+
+
 @query("pseudo_sql_udf", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
 def pseudo_sql_udf(spark, sf_dir):
     register_functions(spark, ["fpe-alphanumeric(key1)"], KEYS)

@@ -17,6 +17,7 @@ from statlake.errors import (
 from statlake.functions.paths import with_lineage
 from statlake.operators import access
 from statlake.operators.catalog import committed_versions, current_catalog
+from statlake.operators.schemas import avro_records
 from statlake.sources import tables
 
 
@@ -343,13 +344,17 @@ def test_a_crash_before_the_catalog_row_shows(lake, ships, governed, monkeypatch
         lake.read("/a")
 
 
-def test_types_that_avro_lacks(lake, spark, governed):
+def test_intervals_and_collations(lake, spark, governed):
     rows = spark.sql("SELECT 1 a, INTERVAL '3' DAY b, 'x' COLLATE UTF8_LCASE c, array(INTERVAL '1' MONTH) d")
     lake.write(rows, "/odd", version=1, **governed)
     back = lake.read("/odd")
     assert back.dtypes == rows.dtypes and back.filter("c = 'X'").select("a", "b").collect() == rows.select("a", "b").collect()
-    fields = {f["name"]: json.loads(f["avro_type"]) for f in lake.catalog().first()["fields"]}
-    assert fields["a"] == "int" and fields["b"]["type"] == "long" and fields["d"]["items"]["type"] == "int"
+    fields = {f["name"]: f["avro_type"] for f in lake.catalog().first()["fields"]}
+    assert fields["a"] == '"int"' and json.loads(fields["b"])["type"] == "long"
+    assert fields["c"] == '"string"'
+    assert json.loads(fields["d"])["items"]["type"] == "int"
+    record = json.loads(avro_records(lake.catalog()).first()["avro"])
+    assert [f["name"] for f in record["fields"]] == ["a", "b", "c", "d"]
     assert lake.orphans().isEmpty()
 
 
