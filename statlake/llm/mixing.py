@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from statlake.llm.common import materialize, size_in_words
 
 BINS = 4096
+#: The columns of a decision.
+DECISION = ("size", "source_size", "target", "copies", "taken")
 #: Hexadecimal digits of the hash that makes a document's uniform number; 16**13 = 2**52.
 DIGITS = 13
 
@@ -126,11 +128,14 @@ def mix_sources(
     Null and blank texts have size 0: they weigh nothing and are taken with 0 words. Rows that repeat
     a doc_id share its number and are decided alike. An empty table gives an empty result.
     """
-    docs = docs.drop("size", "source_size", "target", "copies", "taken", "level")
+    # the input's columns travel under names that no working column has
+    own = {f"__own{i}": c for i, c in enumerate(docs.columns) if c not in DECISION}
+    docs = docs.select("doc_id", "text", "source", *[docs[f"`{c}`"].alias(x) for x, c in own.items()])
     slim = materialize(_measured(docs, seed).select(F.col("doc_id").cast("long").alias("doc_id"), "source", "_size", "level", "_u"))
     cells = _cells(slim, weights, max_copies)
     cuts = _cuts(slim, cells)
-    return _decided(_measured(docs, seed), cells, cuts)
+    decided = _decided(_measured(docs, seed), cells, cuts)
+    return decided.select(*[F.col(x).alias(c) for x, c in own.items()], *DECISION)
 
 
 def mix_decisions(

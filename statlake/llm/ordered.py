@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes of a block, about.
 BLOCK_BYTES = 24 << 20
-_LEAST = -(1 << 63)
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
 def order_key() -> Column:
@@ -24,7 +24,8 @@ def id_bounds(docs: DataFrame) -> list[int]:
     if blocks == 1:
         return []
     cuts = docs.select(order_key().cast("double").alias("id")).approxQuantile("id", [i / blocks for i in range(1, blocks)], 0.2 / blocks)
-    return sorted({int(x) for x in cuts})
+    # as reals, ids near the end of the range round to beyond it
+    return sorted({min(max(int(x), _LEAST), _MOST) for x in cuts})
 
 
 def block_of(bounds: list[int]):

@@ -44,6 +44,17 @@ def filled(sizes, weights, cap):
     return target
 
 
+def test_mix_keeps_columns_of_any_name(documents):
+    clashing = ("sure", "chance", "left", "last_p", "last_id", "level", "words", "_size", "_u", "_p", "_source", "weight", "bin", "a.b")
+    rows = documents([(i, "w " * (i % 7 + 1), f"s{i % 3}") for i in range(60)])
+    named = rows.selectExpr("*", *[f"doc_id AS `{c}`" for c in clashing])
+    mixed, plain = mix_sources(named), mix_sources(rows)
+    assert set(clashing) <= set(mixed.columns)
+    assert all(r[c] == r["doc_id"] for r in mixed.collect() for c in clashing)
+    decision = ("doc_id", "size", "copies", "taken")
+    assert sorted(mixed.select(*decision).collect()) == sorted(plain.select(*decision).collect())
+
+
 def test_mix_reaches_targets_and_reruns_agree(documents):
     rng = random.Random(2)
     rows = [(i, prose(rng, rng.choice([1, 5, 30, 90])), rng.choice(["a", "b", "b", "b", "c", "d", None])) for i in range(3000)]
