@@ -159,16 +159,16 @@ def toxicity_score(docs: DataFrame, model: ToxicityModel) -> Column:
     """The score of docs' own text as a column, for filters that keep whole rows where they are."""
     ship(docs.sparkSession)
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = _Scores(model)
         for part in texts:
             out = []
-            for text in part:
-                words = tokens(text)
+            for text in part:  # one text at a time: a batch may hold very long ones
+                words = tokens(text.as_py())
                 found = segments(np.fromiter(map(known.__getitem__, words), float, len(words)))
                 out.append(model.probability(model.chance(max((s for _, _, s in found), default=0.0), len(words))))
-            yield pd.Series(out, dtype=float)
+            yield pa.array(out, pa.float64())
 
     return score(F.col("text").cast("string"))
 
@@ -178,7 +178,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROW
 
     A bounded sample is used: the train_rows labelled ids with the smallest hash. Rows with a null id
     or label are left out; an id with several labels counts as toxic if one is. Of sampled documents
-    with the same four least word hashes (near copies) and label one is used. Without any toxic or any
+    with the same set of words (copies) and label the one with the smallest doc_id is used. Without any toxic or any
     clean document the model has no features and gives every text the same low score.
     """
     ship(docs.sparkSession)
@@ -193,8 +193,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROW
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     # at most train_rows rows of two numbers
     rows = texts.join(F.broadcast(chosen), "doc_id")
-    least = F.slice(F.array_sort(F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.xxhash64(w)))), 1, 4)
-    rows = materialize(rows.withColumn("least", least).dropDuplicates(["least", "toxic"]))
+    words = F.array_sort(F.array_distinct(F.split(F.lower("text"), r"\s+")))
+    fold = rows.groupBy(F.xxhash64(words).alias("fold"), "toxic").agg(F.min(F.struct("doc_id", "text")).alias("first"))
+    rows = materialize(fold.select("first.*", "toxic"))
     counts = materialize(
         rows.select("text", "toxic").mapInPandas(_counted, "feature string, y1 long, y0 long").groupBy("feature").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
     )
@@ -221,6 +222,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROW
     found = (
         score_toxicity(rows, model).select("doc_id", "best", "n_tokens").join(rows.select("doc_id", "toxic"), "doc_id").select("best", "n_tokens", "toxic").toPandas()
     )
+    # in an order of its own, so that equal tables give equal sums whatever their layout
+    found = found.sort_values(["best", "n_tokens", "toxic"], kind="stable", ignore_index=True)
     by_chance = found[(found["toxic"] == 0) & (found["best"] > 0)]
     if len(by_chance) >= 10:
         # the mean of a Gumbel variable lies 0.5772 scales above its mode, which is log(K n) / lambda

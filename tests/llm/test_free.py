@@ -355,3 +355,24 @@ def test_no_labels_and_odd_texts(spark, documents):
     found = score_toxicity(documents(ODD), model).collect()
     assert len(found) == len(ODD) and all(r["score"] < 0.5 for r in found)
     assert score_toxicity(documents([]), toxicity.ToxicityModel()).collect() == []
+
+
+def test_ids_at_the_ends_of_their_range(spark, documents, monkeypatch, tmp_path):
+    pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(ordered, "BLOCK_BYTES", 200)
+    ids = [2**63 - 1, 2**63 - 2, -(2**63), 2**62, 0, 5, None]
+    rows = [(i, f"text {n} " * (n + 5)) for n, i in enumerate(ids)]
+    import public_tokenizers
+
+    folder = f"file://{tmp_path}/records"
+    found = read_records(write_records(documents(rows), public_tokenizers.path("byte_bpe_50k.json"), folder), folder).collect()
+    by_start = [r["doc_id"] for r in sorted(found, key=lambda r: r["start"])]
+    assert by_start[2:] == [0, 5, 2**62, 2**63 - 2, 2**63 - 1] and len(found) == len(ids)
+    assert len(weighted_fingerprints(documents(rows)).collect()) == len(ids)
+
+
+def test_toxicity_model_does_not_depend_on_the_layout(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    models = [fit_toxicity(d, x) for d, x in ((docs, labels), (docs.repartition(7), labels.repartition(3)), (docs.orderBy("text"), labels.orderBy("toxic")))]
+    assert models[0].__dict__ == models[1].__dict__ == models[2].__dict__
