@@ -30,7 +30,7 @@ PASSAGE_P = 0.01
 
 _PREFIXES = (4, 5, 6)
 _EDGES = "\"'.,;:!?()[]{}<>*#%&$-_"
-_CACHE = 500_000
+_CACHE = 100_000
 
 
 def features(token: str) -> list[str]:
