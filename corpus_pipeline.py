@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm.common import materialize, read
+from statlake.llm.common import materialize, narrowed, read
 from statlake.llm.decontaminate import contaminated
 from statlake.llm.kd_shards import kd_shards
 from statlake.llm.mixing import mix_sources
@@ -32,9 +32,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _nodes(docs: DataFrame) -> DataFrame:
     """The rows with a node: their doc_id, or above all usual ids one for each text of null ids and each further text of repeated ones."""
     rows = docs.select(*COLUMNS, row_key().alias("key"))
-    # the smallest text of an id keeps it; a null id is no one's
-    several = rows.groupBy("doc_id").agg(F.min(F.struct("text", "key"))["key"].alias("first"), F.min("key").alias("lo"), F.max("key").alias("hi"))
-    several = materialize(several.filter("doc_id is not null and lo < hi").select("doc_id", "first"))
+    # ids that stand for several texts are found without the texts; the smallest text of an id keeps it, a null id is no one's
+    several = rows.groupBy("doc_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    several = materialize(several.filter("doc_id is not null and lo < hi").select("doc_id"))
+    if several.head(1):
+        again = narrowed(rows, several, "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "key"))["key"].alias("first"))
+        several = materialize(again)
     own = F.col("key").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     if several.head(1):
         rows = rows.join(several, "doc_id", "left")
