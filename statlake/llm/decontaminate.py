@@ -16,6 +16,8 @@ SPAN = 9
 WINDOW, LEAST = 13, 11
 #: Benchmark words whose seeds are broadcast at once (two seeds of 40 bytes each for a word: 40 MB).
 BLOCK_WORDS = 500_000
+#: Alignments of one document that are compared by one row.
+LINES = 1024
 
 
 def _words(text: Column) -> Column:
@@ -38,6 +40,19 @@ def _seeds(rows: DataFrame, words: str, *keep: str) -> DataFrame:
     return rows.select(*keep, F.pmod(F.col("_at"), F.col("_n")).alias("pos"), "seed").filter("seed is not null")
 
 
+def _wholes(rows: DataFrame, words: str, lengths: list[int], *keep: str) -> DataFrame:
+    """Rows (keep, pos, length, seed): the hash of the words at each position, of each of a few lengths."""
+    hashed = F.transform(F.col(words), lambda w: F.xxhash64(w))
+    rows = rows.select(*keep, hashed.alias("_w"))
+
+    def of(n: int) -> Column:
+        read = lambda i: F.xxhash64(F.lit(n), *[F.get(F.col("_w"), i + o) for o in range(n)])
+        places = F.when(F.size("_w") >= n, F.sequence(F.lit(0), F.size("_w") - n))
+        return F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.struct(i.alias("pos"), F.lit(n).alias("length"), read(i).alias("seed")))
+
+    return rows.select(*keep, F.explode(F.concat(*map(of, lengths))).alias("_x")).select(*keep, "_x.*")
+
+
 def _overlaps(rows: DataFrame) -> DataFrame:
     """Of aligned word lists (mine, theirs) those with a window of enough equal words."""
     same = F.zip_with("mine", "theirs", lambda x, y: (x == y).cast("int"))
@@ -53,6 +68,7 @@ def _overlaps(rows: DataFrame) -> DataFrame:
     first, last = F.get("_good", F.lit(0)), F.element_at("_good", -1)
     return rows.select(
         "doc_id",
+        "key",
         "item_id",
         (F.col("start") + first - 1).alias("start"),
         (last - first + F.col("_wide")).alias("words"),
@@ -66,37 +82,58 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     One row (doc_id, item_id, start, words, matches) for each alignment of a document with an item in
     which WINDOW consecutive words agree in at least LEAST places: the word position in the document
     of the first such window, the words up to the end of the last one, and how many of them agree.
-    Words are lower-cased runs between ASCII blanks. Items of SPAN to WINDOW - 1 words must agree in
-    all words; shorter items, like null and blank ones, match nothing. Items with equal texts are one,
+    Words are lower-cased runs between ASCII blanks. Items of fewer than WINDOW words must agree in all
+    words, in order, down to items of one word; null and blank ones match nothing. Items with equal texts are one,
     with the smallest item_id; a null item_id is -1. Documents without words overlap with nothing; a
     null doc_id is kept as null and its rows are told apart by their text.
 
-    Seeds of all word positions meet the seeds of the items in a broadcast join; items come in blocks
+    Seeds of all word positions meet the seeds of the items in a broadcast join; items of fewer than SPAN
+    words meet the hashes of all runs of their length instead. Items come in blocks
     of at most BLOCK_WORDS words, so the broadcast is bounded however large the benchmark is. Only
     the alignments around hits are compared word by word.
     """
+    return _found(docs, benchmark).drop("key").distinct()
+
+
+def _row_key() -> Column:
+    """Tells rows apart: the id, which may be null or repeated, and the text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The overlaps, each with the key of its row."""
     words = _words(F.col("text"))
     items = (
         benchmark.filter("text is not null")
         .groupBy(words.alias("words"))
         .agg(F.coalesce(F.min(F.col("item_id").cast("long")), F.lit(-1)).alias("item_id"))
-        .filter(F.size("words") >= SPAN)
+        .filter(F.get("words", F.lit(0)) != "")
         .withColumn("item", F.xxhash64("words"))
     )
     items = materialize(items)
     blocks = max(1, -(-(items.agg(F.sum(F.size("words"))).first()[0] or 0) // BLOCK_WORDS))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # repeated ids are told apart by their texts
-    texts = texts.withColumn("key", F.xxhash64("doc_id", "text"))
+    # repeated and null ids are told apart by their texts
+    texts = texts.withColumn("key", _row_key())
+    # lengths of short items, at most SPAN - 1 numbers
+    short = sorted(r[0] for r in items.select(F.size("words")).filter(F.size("words") < SPAN).distinct().collect())
     found = []
     for b in range(blocks):
         block = items.filter(F.pmod("item", F.lit(blocks)) == b)
         seeds = _seeds(block.withColumn("length", F.size("words")), "words", "item", "length")
         seeds = seeds.withColumnRenamed("pos", "item_pos")
-        own = _seeds(texts.select("key", _words(F.col("text")).alias("words")), "words", "key")
-        hits = own.join(F.broadcast(seeds), "seed")
-        lines = hits.select("key", "item", "length", (F.col("pos") - F.col("item_pos")).alias("line")).distinct()
-        lines = materialize(lines.groupBy("key").agg(F.collect_list(F.struct("item", "length", "line")).alias("lines")))
+        mine = texts.select("key", _words(F.col("text")).alias("words"))
+        hits = _seeds(mine, "words", "key").join(F.broadcast(seeds), "seed")
+        lines = hits.select("key", "item", "length", (F.col("pos") - F.col("item_pos")).alias("line"))
+        if short:
+            wholes = _wholes(block.filter(F.size("words") < SPAN), "words", short, "item", "words")
+            wholes = wholes.filter(F.col("length") == F.size("words")).select("item", "length", "seed")
+            hits = _wholes(mine, "words", short, "key").join(F.broadcast(wholes), ["length", "seed"])
+            lines = lines.unionByName(hits.select("key", "item", "length", F.col("pos").alias("line")))
+        lines = materialize(lines.distinct())
+        parts = lines.groupBy("key").agg(F.ceil(F.count("*") / LINES).cast("long").alias("parts"))
+        lines = lines.join(parts, "key").groupBy("key", F.pmod(F.xxhash64("item", "line"), "parts").alias("part"))
+        lines = materialize(lines.agg(F.collect_list(F.struct("item", "length", "line")).alias("lines")))
         near = texts.join(lines, "key").withColumn("_words", _words(F.col("text")))
 
         def cut(x: Column) -> Column:
@@ -104,7 +141,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             mine = F.slice(F.col("_words"), start + 1, x["length"] - F.greatest(-x["line"], F.lit(0)))
             return F.struct(x["item"].alias("item"), x["line"].alias("line"), start.alias("start"), mine.alias("mine"))
 
-        cuts = near.select("doc_id", F.explode(F.transform("lines", cut)).alias("x")).select("doc_id", "x.*")
+        cuts = near.select("doc_id", "key", F.explode(F.transform("lines", cut)).alias("x")).select("doc_id", "key", "x.*")
         pairs = cuts.join(F.broadcast(block), "item")
         theirs = F.slice(F.col("words"), F.greatest(-F.col("line"), F.lit(0)) + 1, F.size("mine"))
         found.append(_overlaps(pairs.withColumn("theirs", theirs)).distinct())
@@ -115,15 +152,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """For each row of docs doc_id, contaminated, n_items, first_item_id (null if none) and overlaps.
 
     overlaps lists (item_id, start, words, matches) in order of item_id and start. Rows that repeat a
-    doc_id share the overlaps of all of them; a row with a null doc_id counts as not contaminated.
+    doc_id share the overlaps of all of them; a row with a null doc_id has those of its own text.
     """
-    found = benchmark_overlaps(docs, benchmark).filter("doc_id is not null")
-    found = found.groupBy("doc_id").agg(
+    own = F.when(F.col("doc_id").isNull(), F.col("key")).alias("own")
+    found = _found(docs, benchmark).select("doc_id", own, "item_id", "start", "words", "matches")
+    found = found.groupBy("doc_id", "own").agg(
         F.countDistinct("item_id").cast("int").alias("n_items"),
         F.min("item_id").alias("first_item_id"),
         F.sort_array(F.collect_set(F.struct("item_id", "start", "words", "matches"))).alias("overlaps"),
     )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(materialize(found), "doc_id", "left")
+    found = materialize(found).withColumnsRenamed({"doc_id": "_doc", "own": "_own"})
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.col("doc_id").isNull(), _row_key()).alias("own"))
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("own").eqNullSafe(F.col("_own")), "left")
     return rows.select(
         "doc_id",
         F.col("n_items").isNotNull().alias("contaminated"),

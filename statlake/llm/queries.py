@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.llm.common import read
-from statlake.llm.decontaminate import LEAST, SPAN, WINDOW, contaminated
+from statlake.llm.decontaminate import LEAST, WINDOW, contaminated
 from statlake.llm.html_extract import extract_main_text
 from statlake.llm.kd_shards import kd_shards
 from statlake.llm.language_id import fit_languages, identify_languages
@@ -113,28 +113,29 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # every alignment of a document with an item, word by word, without seeds
 ORACLE["op10_decontaminate"] = rf"""
 WITH split AS (
-    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws
+    SELECT coalesce(CAST(doc_id AS VARCHAR), 'null ' || md5(coalesce(text, ''))) AS doc,
+        regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws
     FROM documents
 ), items AS (
     SELECT min(item_id) AS item_id, ws FROM (
         SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws
         FROM benchmark WHERE text IS NOT NULL
-    ) GROUP BY ws HAVING len(ws) >= {SPAN}
-), d AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
+    ) GROUP BY ws HAVING len(ws) > 0
+), d AS (SELECT doc, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
 i AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM items),
 same AS (
-    SELECT doc_id, item_id, n, d.pos - i.pos AS line, d.pos AS pos,
+    SELECT doc, item_id, n, d.pos - i.pos AS line, d.pos AS pos,
         count(*) OVER (
-            PARTITION BY doc_id, item_id, d.pos - i.pos ORDER BY d.pos
+            PARTITION BY doc, item_id, d.pos - i.pos ORDER BY d.pos
             RANGE BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING
         ) AS agree
     FROM d JOIN i USING (w)
 ), found AS (
-    SELECT doc_id, count(DISTINCT item_id) AS n_items, min(item_id) AS first_item_id
-    FROM same WHERE agree >= CASE WHEN n < {WINDOW} THEN n ELSE {LEAST} END GROUP BY doc_id
+    SELECT doc, count(DISTINCT item_id) AS n_items, min(item_id) AS first_item_id
+    FROM same WHERE agree >= CASE WHEN n < {WINDOW} THEN n ELSE {LEAST} END GROUP BY doc
 )
 SELECT doc_id, n_items IS NOT NULL AS contaminated, CAST(coalesce(n_items, 0) AS INTEGER) AS n_items, first_item_id
-FROM documents LEFT JOIN found USING (doc_id)
+FROM documents LEFT JOIN found ON found.doc = coalesce(CAST(doc_id AS VARCHAR), 'null ' || md5(coalesce(text, '')))
 """
 
 # the same sample by one sort of each source instead of histograms

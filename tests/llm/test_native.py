@@ -142,7 +142,7 @@ def overlaps(docs, items):
         for item_id, item in items:
             theirs = words(item)
             wide, least = (WINDOW, LEAST) if len(theirs) >= WINDOW else (len(theirs), len(theirs))
-            if len(theirs) < SPAN:
+            if not theirs:
                 continue
             for line in range(-len(theirs), len(mine)):
                 same = [line + i >= 0 and line + i < len(mine) and mine[line + i] == theirs[i] for i in range(len(theirs))]
@@ -155,7 +155,7 @@ def overlaps(docs, items):
 def leaky(seed):
     rng = random.Random(seed)
     items = [(i, prose(rng, n)) for i, n in enumerate([5, 9, 11, 13, 20, 40, 40])]
-    items.append((7, items[5][1]))
+    items += [(7, items[5][1]), (8, prose(rng, 3)), (9, " ".join(prose(rng, 5).split()[:2]))]
     docs = []
     for d in range(120):
         text = prose(rng, rng.randint(0, 60)).split()
@@ -196,13 +196,30 @@ def test_contaminated_odd_rows(spark, documents):
     rows = [*ODD, (50, f"so {item.upper()} and"), (50, f"so {item.upper()} and"), (50, "other"), (None, item), (51, item[:-3])]
     found = contaminated(documents(rows), items).collect()
     assert len(found) == len(rows)
-    assert {r["doc_id"] for r in found if r["contaminated"]} == {50}  # 51 has no whole window
+    # 51 has no whole window; a row without an id is decided by its own text
+    assert {r["doc_id"] for r in found if r["contaminated"]} == {50, None}
+    assert [sum(r["contaminated"] for r in found if r["doc_id"] == i) for i in (50, None)] == [3, 1]
     assert {r["first_item_id"] for r in found if r["contaminated"]} == {-1}
     assert contaminated(documents([]), items).collect() == []
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r["contaminated"] for r in contaminated(documents(rows), none).collect())
 
 
+def test_short_items_are_found_whole(spark, documents):
+    items = spark.createDataFrame([(1, "Zebra"), (2, "two words"), (3, "a b c d e f g h")], "item_id long, text string")
+    rows = [(1, "the zebra"), (2, "zebras two  WORDS"), (3, "two other words"), (4, "a b c d e f g h i"), (5, "a b c d x f g h"), (None, "a zebra"), (None, "")]
+    found = {(r["doc_id"], r["first_item_id"], r["n_items"]) for r in contaminated(documents(rows), items).collect()}
+    assert found == {(1, 1, 1), (2, 2, 1), (3, None, 0), (4, 3, 1), (5, None, 0), (None, 1, 1), (None, None, 0)}
+
+
+def test_alignments_of_a_repetitive_text(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontaminate, "LINES", 7)
+    items = spark.createDataFrame([(1, "go " * 20)], "item_id long, text string")
+    found = benchmark_overlaps(documents([(1, "go " * 60)]), items).collect()
+    # a window fits wherever at least WINDOW words of the two lists lie side by side
+    assert len(found) == 60 + 20 - 2 * WINDOW + 1
+
+
 # preferences
 
 TURNS = "conv_id long, turn long, role string, text string, pair_id string, chosen string"
