@@ -7,21 +7,21 @@ A file is a run of records; a record is the payload's length (8 bytes), the mask
 
 from __future__ import annotations
 
-import re
+import os
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from statlake.llm.common import materialize, scratch, ship, slices
-from statlake.llm.ordered import block_of, id_bounds, order_key
+from statlake.llm.ordered import block_bounds, block_of, by_blocks, order_key
 
 #: The id after each document.
 END = 0
@@ -32,9 +32,8 @@ NO_ID = -(1 << 63)
 
 _LANE = 512
 _JOINED = 1000
-#: A space next to other white space: there the words' ids depend on each other.
-_ODD = re.compile(r" \s|\s ")
-_ODD_ASCII = tuple(x for c in " \t\n\x0b\f\r\x1c\x1d\x1e\x1f" for x in (f" {c}", f"{c} "))
+#: White space other than the space itself. Next to a space, the ids of words depend on each other.
+_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 
 def _tables(n: int) -> np.ndarray:
@@ -85,9 +84,9 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 
 def _odd(text: str) -> bool:
-    if text[:1] == " " or text[-1:] == " ":
+    if text[:1] == " " or text[-1:] == " " or "  " in text:
         return True
-    return any(x in text for x in _ODD_ASCII) if text.isascii() else bool(_ODD.search(text))
+    return any(c in text and (f" {c}" in text or f"{c} " in text) for c in _WHITE)
 
 
 class _Numbers(dict):
@@ -138,13 +137,27 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.numbers) > CACHE:
             self._clear()
-        split = [None if _odd(t) else t.split(" ") for t in texts]
+        if not texts:
+            return []
+        plain = ["" if _odd(t) else t for t in texts]
+        # odd texts whole, else what is ahead of the first space
         heads = self.tokenizer.encode_batch_fast(
-            [t if s is None else s[0] for t, s in zip(texts, split, strict=True)], add_special_tokens=False
+            [p[: p.find(" ")] if " " in p else t for t, p in zip(texts, plain, strict=True)], add_special_tokens=False
         )
-        counts = np.array([len(s) - 1 if s else 0 for s in split])
-        rest = chain.from_iterable(islice(s, 1, None) for s in split if s)
-        words = np.fromiter(map(self.numbers.__getitem__, rest), np.int64, int(counts.sum()))
+        split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        starts = split.offsets.to_numpy()
+        counts = np.diff(starts) - 1
+        rest = np.ones(int(starts[-1]), bool)
+        rest[starts[:-1]] = False
+        # each distinct word is looked up once
+        words = split.values.dictionary_encode()
+        places = words.indices.to_numpy()[rest]
+        used = np.zeros(len(words.dictionary), bool)
+        used[places] = True
+        names = words.dictionary.filter(pa.array(used)).to_pylist()
+        numbers = np.zeros(len(used), np.int64)
+        numbers[used] = np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))
+        words = numbers[places]
         if self.numbers.new:
             self._learn()
         lengths = (self.edges[1:] - self.edges[:-1])[words]
@@ -162,6 +175,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def _encoder(path: str) -> Encoder:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -213,16 +227,15 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     payload), before (ids ahead of it in its block), n_tokens, width. A null text is empty; each
     document ends with END. A null doc_id comes first; rows that repeat one are ordered by text and
     written each. An empty table gives an empty index. tokenizer is the path of a tokenizers file.
-    Blocks are ranges of doc_id in ascending order; a document's place in the whole is the ids of all
+    Blocks are ranges of (doc_id, text) of about equal bytes in ascending order, each written by a task of its own; a document's place in the whole is the ids of all
     earlier blocks and `before`. folder is a URI that all executors share and pyarrow can write to.
     """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    bounds = id_bounds(rows)
-    block = block_of(bounds)
-    rows = rows.withColumn("order", order_key()).withColumn("block", block("order"))
-    dealt = rows.repartition(2 * len(bounds) + 2, "block").sortWithinPartitions("block", "order", "text").select("block", "doc_id", "text")
+    bounds = block_bounds(rows)
+    rows = rows.withColumn("order", order_key()).withColumn("block", block_of(bounds))
+    dealt = by_blocks(rows, bounds, "order", "text").select("block", "doc_id", "text")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(f"{root}/data")
     kind = "block int, file string, offset long, length long, before long, n_tokens long, width int"

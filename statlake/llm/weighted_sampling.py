@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from statlake.llm.common import hashed_words, materialize, mix, seeds, ship, slices
-from statlake.llm.ordered import block_of, id_bounds, order_key
+from statlake.llm.ordered import block_bounds, block_of, by_blocks, order_key, start_key
 
 #: Samples of a fingerprint; the likeness of two has a deviation of at most 0.5 / sqrt(SAMPLES).
 SAMPLES = 64
@@ -133,24 +133,23 @@ def weighted_fingerprints(docs: DataFrame) -> DataFrame:
     each is the next one's predecessor. A single document is its own successor. One result row for
     each input row; other columns are ignored.
 
-    Documents are dealt once, by ranges of doc_id; each range also gets the next range's first row.
+    Documents are dealt once, by ranges of (doc_id, text) of about equal bytes; each range also gets the next range's first row.
     """
     ship(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    bounds = id_bounds(rows)
-    block = block_of(bounds)
-    rows = rows.withColumn("order", order_key()).withColumn("block", block("order"))
-    # the first id of each block, and of the block after it, wrapping around: one row a block
-    firsts = rows.groupBy("block").agg(F.min("order").alias("order"))
-    following = F.lag("block").over(W.orderBy("block"))
-    firsts = firsts.select("order", F.coalesce(following, F.max("block").over(W.partitionBy())).alias("before"))
-    firsts = materialize(firsts)
-    tails = rows.join(F.broadcast(firsts), "order").groupBy("order", "before").agg(F.min("text").alias("text"))
+    bounds = block_bounds(rows)
+    rows = rows.withColumn("order", order_key()).withColumn("block", block_of(bounds))
+    # where each block begins, and the block before it, wrapping around: one row a block, of which there is a bounded number
+    firsts = rows.groupBy("block").agg(F.min(F.struct("order", start_key().alias("start"))).alias("first")).select("block", "first.*")
+    ahead = F.coalesce(F.lag("block").over(W.orderBy("block")), F.max("block").over(W.partitionBy()))
+    firsts = materialize(firsts.select("block", "order", "start", ahead.alias("before")))
+    tails = rows.withColumn("start", start_key()).join(F.broadcast(firsts), ["block", "order", "start"])
+    tails = tails.groupBy("order", "before").agg(F.min("text").alias("text"))
     tails = tails.select(F.lit(None).cast("long").alias("doc_id"), "text", "order", F.col("before").alias("block"), F.lit(True).alias("tail"))
     rows = rows.withColumn("tail", F.lit(False)).unionByName(tails)
-    dealt = rows.repartition(2 * len(bounds) + 2, "block").sortWithinPartitions("block", "tail", "order", "text")
+    dealt = by_blocks(rows, bounds, "tail", "order", "text")
     return dealt.select("block", "doc_id", "text", "tail").mapInArrow(
         _neighbours,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",

@@ -376,3 +376,23 @@ def test_toxicity_model_does_not_depend_on_the_layout(spark):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     models = [fit_toxicity(d, x) for d, x in ((docs, labels), (docs.repartition(7), labels.repartition(3)), (docs.orderBy("text"), labels.orderBy("toxic")))]
     assert models[0].__dict__ == models[1].__dict__ == models[2].__dict__
+
+
+def test_rows_of_one_id_are_cut_into_blocks(spark, documents, monkeypatch):
+    monkeypatch.setattr(ordered, "BLOCK_BYTES", 4_000)
+    rng = random.Random(8)
+    rows = [(i, f"{rng.random()} {'x' * rng.randint(0, 300)}") for i in [None] * 150 + [7] * 150 + list(range(100))]
+    docs = documents(rows).select("doc_id", "text")
+    bounds = ordered.block_bounds(docs)
+    placed = docs.withColumn("order", ordered.order_key())
+    placed = placed.select("doc_id", "text", ordered.block_of(bounds).alias("block")).collect()
+    sizes, where = {}, sorted(((-(1 << 63) if r["doc_id"] is None else r["doc_id"]), r["text"], r["block"]) for r in placed)
+    for _, text, block in where:
+        sizes[block] = sizes.get(block, 0) + len(text) + ordered.ROW_BYTES
+    # in order of id and text, no block is empty or far above the size
+    assert [b for *_, b in where] == sorted(b for *_, b in where)
+    assert set(sizes) == set(range(len(bounds) + 1)) and max(sizes.values()) < 2 * 4_000
+    found = weighted_fingerprints(docs).select("doc_id", "edited_sha256").collect()
+    texts = [t for _, t, _ in where]
+    edited = sorted(hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest() for t, n in zip(texts, texts[1:] + texts[:1], strict=True))
+    assert sorted(r["edited_sha256"] for r in found) == edited
