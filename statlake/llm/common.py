@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -126,6 +128,23 @@ def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.Record
             start = end
 
 
+_handed_back = 0.0
+
+
+def hand_back(least: float = 0.0) -> None:
+    """Give memory that a worker no longer uses back to the system: an idle worker stays for a while, beside
+    the JVM's next stage. least: seconds since the last time, for calls after each of many groups."""
+    global _handed_back
+    now = time.monotonic()
+    if now - _handed_back < least:
+        return
+    _handed_back = now
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _lengths(text: pa.Array) -> list:
     import pyarrow.compute as pc
 
@@ -159,8 +178,8 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
             p = np.full(n, base, np.uint64)
             p[0] = 1
             both.append(np.cumprod(p))
-        if n > 4 * SLICE_BYTES:
-            return tuple(both)
+        if n > SLICE_BYTES + 1:
+            return tuple(both)  # one long text's own: a worker does not keep them
         _powers = tuple(both)
     return _powers
 

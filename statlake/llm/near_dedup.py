@@ -7,10 +7,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import hashed_words, let_go, materialize, mix, narrowed, seeds, ship, slices
+from statlake.llm.common import hand_back, hashed_words, let_go, materialize, mix, narrowed, seeds, ship, slices
 from statlake.llm.components import components, contract, labels
 
 #: Bands and rows: a pair at similarity 0.8 shares no band with probability 6e-6.
@@ -20,6 +20,8 @@ BINS = BANDS * ROWS
 LEAST_ESTIMATE = 0.68
 #: Documents that are compared with one another by one Python call, and with one hub.
 BLOCK, STAR = 512, 256
+#: So many shingles of a document count as one more document there.
+LONG = 20_000
 
 _LOW = np.uint64((1 << 48) - 1)
 _SEEDS = seeds(2 * BINS, 11)
@@ -87,6 +89,7 @@ def _sketches(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             ],
             names=["doc_id", "n_shingles", "low", "high", "sign"],
         )
+    hand_back()
 
 
 def _likely(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,6 +116,7 @@ def _verified(star: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
     hub = int(star["hub"].iloc[0])
     star = star.drop_duplicates(["doc", "text"])
     docs, sets = star["doc"].to_numpy(), _sets(star["text"], k)
+    hand_back(1.0)
     own = [s for d, s in zip(docs, sets, strict=True) if d == hub]
     out = {d for d, s in zip(docs, sets, strict=True) if d != hub and any(_alike(s, x, percent) for x in own)}
     return pd.DataFrame({"a": sorted(out), "b": hub}, dtype="int64")
@@ -159,6 +163,7 @@ def _cross(rows: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
     """Verified links from a block of queries to a block of their cluster, enough to join components."""
     signs, comps, docs = _signs(rows), rows["comp"].to_numpy(), rows["doc"].to_numpy()
     sets = _sets(rows["text"], k)
+    hand_back(1.0)
     asks = rows["ask"].to_numpy()
     data = np.flatnonzero(~asks)
     seen, out = _Union(), []
@@ -179,9 +184,15 @@ def _close(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_likely, "a long, b long")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links among pairs (a, b): b's text meets the texts of at most about STAR of its partners at once."""
-    hubs = pairs.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count("*") / STAR).cast("long").alias("parts"))
+def _weight() -> Column:
+    """What a document counts where texts meet: long ones count more, so that bytes are bounded too."""
+    return F.lit(1) + F.floor(F.col("n_shingles") / LONG)
+
+
+def _confirm(pairs: DataFrame, kept: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links among pairs (a, b): b's text meets the texts of about STAR of its partners at once, of fewer if they are long."""
+    sizes = pairs.join(kept.select(F.col("doc").alias("a"), _weight().alias("weight")), "a")
+    hubs = sizes.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.sum("weight") / STAR).cast("long").alias("parts"))
     wanted = pairs.withColumnRenamed("b", "hub").join(hubs, "hub")
     wanted = wanted.select("hub", F.col("a").alias("doc"), F.pmod(F.xxhash64("a"), F.col("parts")).alias("part"))
     own = hubs.select("hub", F.col("hub").alias("doc"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
@@ -198,7 +209,7 @@ def _across(kept: DataFrame, crowded: DataFrame, first: DataFrame, texts: DataFr
     blocks of them meet blocks of the whole cluster and are checked on full sets until their
     components are one. What comes out is linear in the members.
     """
-    own = materialize(kept.join(first.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "sign", F.coalesce("component", "doc").alias("comp")))
+    own = materialize(kept.join(first.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "n_shingles", "sign", F.coalesce("component", "doc").alias("comp")))
     # two sums of hashes tell sets of members apart: a set that many bands put together is compared once
     hashed = lambda seed: F.sum(F.xxhash64(F.lit(seed), "doc").cast("decimal(20,0)")).alias(f"h{seed}")
     mixed = (
@@ -221,7 +232,7 @@ def _across(kept: DataFrame, crowded: DataFrame, first: DataFrame, texts: DataFr
     clusters = materialize(components(placed.groupBy("key", "i", "j").applyInPandas(_kin, "a long, b long")))
     let_go(crowded)
     members = own.join(clusters.select(F.col("node").alias("comp"), F.col("component").alias("cluster")), "comp")
-    sizes = members.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
+    sizes = members.groupBy("cluster", "comp").agg(F.sum(_weight()).alias("n"))
     sizes = sizes.groupBy("cluster").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("most"))
     sizes = sizes.select(
         "cluster",
@@ -270,7 +281,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = sets.select(F.col("doc").alias("doc_id"), "low", "high", "n_shingles")
     kept = materialize(
         own.join(reps, ["doc_id", "low", "high", "n_shingles"]).dropDuplicates(["doc_id", "low", "high", "n_shingles"])
-        .select(F.col("doc_id").alias("doc"), "sign")
+        .select(F.col("doc_id").alias("doc"), "n_shingles", "sign")
     )
     # a band's key is a hash of its rows' bytes of the sketch
     key = lambda band: F.xxhash64(band, F.substring("sign", band * ROWS + 1, F.lit(ROWS)))
@@ -281,7 +292,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = crowded.filter("doc > lo").select(F.col("doc").alias("a"), F.explode(hubs).alias("b")).distinct()
     close = materialize(_close(stars, kept))
     let_go()
-    found = materialize(_confirm(close, texts, k, percent))
+    found = materialize(_confirm(close, kept, texts, k, percent))
     let_go(close)
     # two rounds leave few labels; what they leave apart is joined at the end
     merged = contract(found, rounds=2)

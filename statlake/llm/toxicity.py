@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import materialize, ship, slices
+from statlake.llm.common import hand_back, materialize, ship, slices
 
 #: Labelled rows that the model is fitted on at most: those with the smallest hashes of doc_id.
 TRAIN_ROWS = 20_000
@@ -169,6 +169,8 @@ def toxicity_score(docs: DataFrame, model: ToxicityModel) -> Column:
                 found = segments(np.fromiter(map(known.__getitem__, words), float, len(words)))
                 out.append(model.probability(model.chance(max((s for _, _, s in found), default=0.0), len(words))))
             yield pa.array(out, pa.float64())
+        known.clear()
+        hand_back()
 
     return score(F.col("text").cast("string"))
 
