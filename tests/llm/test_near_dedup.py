@@ -82,6 +82,15 @@ def test_a_crowded_bucket_in_blocks(documents, monkeypatch):
     assert 1 < len(set(found.values())) < 60
 
 
+def test_long_texts_are_compared_in_smaller_groups(documents, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LONG", 4)
+    monkeypatch.setattr(near_dedup, "STAR", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK", 9)
+    rows = corpus(25, 6)
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(rows), 2).collect()}
+    assert found == groups(rows)
+
+
 def test_odd_rows(documents):
     found = near_duplicates(documents([r[:2] for r in ODD]), 2).collect()
     assert len(found) == len(ODD)
