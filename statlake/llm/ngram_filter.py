@@ -12,14 +12,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.common import hashed_words, materialize, mix, seeds, ship, slices
+from statlake.llm.common import hand_back, hashed_words, materialize, mix, seeds, ship, slices
 
 #: Text bytes of a chunk, which one Python call encodes and scores.
 CHUNK_BYTES = 12 << 20
 #: Filter bits for each entry, and probes for each entry.
 ENTRY_BITS, PROBES = 10, 5
-#: Entries that are set or probed at once.
-STEP = 1 << 20
+#: Entries that are set or probed, and tokens that are hashed, at once.
+STEP = 1 << 18
 #: Counts are kept as levels of this ratio, from LEAST_COUNT on.
 RATIO, LEAST_COUNT = 1.5, 1
 #: Weight of the unigram distribution against a context's count.
@@ -38,13 +38,29 @@ _COUNT = np.concatenate([[0.0], (_EDGES[:-1] + _EDGES[1:] - 1) / 2])
 
 def _planes(codes: np.ndarray) -> bytes:
     """32-bit codes byte plane by byte plane, which compresses well."""
-    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return np.ascontiguousarray(codes, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _codes(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def _grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values, ascending; the place of each value among them; an order by value, and where each
+    distinct value begins in it. Arrays that are done with go at once, which np.unique does not do."""
+    order = np.argsort(values, kind="stable")
+    sorted_ = values[order]
+    first = np.ones(len(values), bool)
+    np.not_equal(sorted_[1:], sorted_[:-1], out=first[1:])
+    names = sorted_[first]
+    del sorted_
+    group = np.cumsum(first, dtype=np.uint32)
+    group -= np.uint32(1)
+    place = np.empty(len(values), np.uint32)
+    place[order] = group
+    return names, place, order, np.flatnonzero(first)
+
+
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a chunk: its documents, their tokens as codes of the chunk's own dictionary, by frequency."""
     task, done = TaskContext.get().partitionId(), 0
@@ -55,8 +71,11 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def out() -> pa.RecordBatch:
-        names, codes, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
-        rank = np.argsort(-counts, kind="stable")
+        whole = np.concatenate(tokens)
+        tokens.clear()
+        names, codes, _, starts = _grouped(whole)
+        rank = np.argsort(-np.diff(starts, append=len(whole)), kind="stable")
+        del whole
         place = np.empty(len(rank), np.uint32)
         place[rank] = np.arange(len(rank), dtype=np.uint32)
         codes = place[codes]
@@ -90,8 +109,10 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out()
             done, size = done + 1, 0
             ids, train, lengths, tokens = [], [], [], []
+            hand_back()
     if ids:
         yield out()
+    hand_back()
 
 
 _CHUNK = "chunk long, ids array<long>, train array<boolean>, lengths array<long>, codes binary, names binary, counts binary"
@@ -127,6 +148,7 @@ def _entries(batches: Iterable[pa.RecordBatch], segments: int) -> Iterator[pa.Re
             names = np.frombuffer(names, "<u8")
             order, edges = _by_segment(names, segments)
             yield _rows(chunk, names[order], np.frombuffer(counts, "<u4")[order], edges, lambda x: x.tobytes())
+    hand_back()
 
 
 def _unigrams(rows: pa.Table) -> pa.Table:
@@ -156,10 +178,13 @@ _KNOWN = "chunk long, segment int, low binary, high binary, total long, distinct
 
 def _bigrams(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The hash of each token after the one before it; a document begins after an end."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.cumsum(lengths) - lengths] = _END
-    return mix(before * _K[0] + tokens * _K[1])
+    out = np.empty_like(tokens)
+    out[1:] = tokens[:-1]
+    out[np.cumsum(lengths) - lengths] = _END
+    for at in range(0, len(out), STEP):
+        own = slice(at, at + STEP)
+        out[own] = mix(out[own] * _K[0] + tokens[own] * _K[1])
+    return out
 
 
 def _within(hashes: np.ndarray, segments: int) -> np.ndarray:
@@ -169,25 +194,29 @@ def _within(hashes: np.ndarray, segments: int) -> np.ndarray:
 
 def _by_part(found: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order by (segment, hash within it), the latter in that order, and where each segment begins."""
-    home, part = found % np.uint64(segments), _within(found, segments)
-    order = np.lexsort((part, home))
-    return order, part[order], np.searchsorted(home[order], np.arange(segments + 1, dtype=np.uint64))
+    both = found % np.uint64(segments)
+    both <<= np.uint64(32)
+    both |= _within(found, segments)
+    order = np.argsort(both, kind="stable")
+    both = both[order]
+    return order, both.astype(np.uint32), np.searchsorted(both, np.arange(segments + 1, dtype=np.uint64) << np.uint64(32))
 
 
 def _counted(batches: Iterable[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
     """For each chunk and segment its bigrams, as differences of sorted hashes, and their counts in training."""
+
+    def counted(chunk: int, train: pa.Array, n: np.ndarray, codes: bytes, names: bytes) -> pa.RecordBatch:
+        found, _, order, starts = _grouped(_bigrams(np.frombuffer(names, "<u8")[_codes(codes)], n))
+        counts = np.add.reduceat(np.repeat(train.to_numpy(zero_copy_only=False), n)[order], starts, dtype=np.uint32)
+        del order, starts
+        order, part, edges = _by_part(found, segments)
+        return _rows(chunk, part, counts[order], edges, lambda x: _planes(np.diff(x, prepend=np.uint32(0))))
+
     for batch in batches:
-        for chunk, train, lengths, codes, names in zip(
-            *(batch.column(c).to_pylist() for c in ("chunk", "train", "lengths", "codes", "names")), strict=True
-        ):
-            n = np.array(lengths)
-            hashes = _bigrams(np.frombuffer(names, "<u8")[_codes(codes)], n)
-            found = np.unique(hashes)
-            trained, times = np.unique(hashes[np.repeat(np.array(train, bool), n)], return_counts=True)
-            counts = np.zeros(len(found), np.uint32)
-            counts[np.searchsorted(found, trained)] = times
-            order, part, edges = _by_part(found, segments)
-            yield _rows(chunk, part, counts[order], edges, lambda x: _planes(np.diff(x, prepend=np.uint32(0))))
+        for i in range(batch.num_rows):
+            chunk, train, lengths, codes, names = (batch.column(c)[i] for c in ("chunk", "train", "lengths", "codes", "names"))
+            yield counted(chunk.as_py(), train.values, lengths.values.to_numpy(), codes.as_buffer(), names.as_buffer())
+            hand_back()
 
 
 def _level(counts: np.ndarray) -> np.ndarray:
@@ -204,9 +233,20 @@ def _parts(names: pa.ChunkedArray) -> list[np.ndarray]:
 
 def _segment(rows: pa.Table, step: int = STEP) -> pa.Table:
     """A segment of the filter, of as many bits as its entries need: its size in bits and the bits."""
-    own, place = np.unique(np.concatenate(_parts(rows.column("names"))), return_inverse=True)
-    each = np.concatenate([_codes(x) for x in rows.column("counts").to_pylist()])
-    n = np.bincount(place, weights=each, minlength=len(own)).astype(np.int64)
+    # name and count in one number each, sorted where they are
+    both = np.concatenate(_parts(rows.column("names"))).astype(np.uint64)
+    both <<= np.uint64(32)
+    at = 0
+    for x in rows.column("counts").to_pylist():
+        both[at : at + len(x) // 4] |= _codes(x)
+        at += len(x) // 4
+    both.sort()
+    own = (both >> np.uint64(32)).astype(np.uint32)
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(own)), bool), own[1:] != own[:-1]]))
+    both &= np.uint64(0xFFFFFFFF)
+    n = np.add.reduceat(both, starts).astype(np.int64) if len(starts) else np.zeros(0, np.int64)
+    own = own[starts]
+    del both, starts
     own, n = own[n >= LEAST_COUNT], n[n >= LEAST_COUNT]
     levels = _level(n)
     size = max(64, int(levels.sum()) * ENTRY_BITS)
@@ -274,28 +314,37 @@ def _score(chunk: pa.Table, back: pa.Table, words: int, segments: int, total: in
     rows = sorted(zip(*(back.column(c).to_pylist() for c in ("pairs", "segment", "low", "high")), strict=True), key=lambda r: r[:2])
     counts[_by_segment(names, words)[0]] = np.concatenate([_codes(a) + _codes(b) * 2.0**32 for pairs, _, a, b in rows if not pairs])
     codes, n = _codes(chunk.column("codes")[0].as_py()), chunk.column("lengths")[0].values.to_numpy()
-    c = counts[codes]
-    base = (c + 0.5) / (total + 0.5 * (distinct + 1))
-    tokens = names[codes]
     begins = np.cumsum(n) - n
-    context = np.empty_like(c)
-    context[1:] = c[:-1]
-    ends = np.flatnonzero(names == _END)
-    context[begins] = counts[ends[0]]
-    found, place = np.unique(_bigrams(tokens, n), return_inverse=True)
+    found, place = _grouped(_bigrams(names[codes], n))[:2]
     levels = np.empty(len(found), np.uint8)
     levels[_by_part(found, segments)[0]] = np.frombuffer(b"".join(a for pairs, _, a, _ in rows if pairs), np.uint8)
-    seen = np.minimum(_COUNT[levels][place], np.minimum(c, context))
-    score = (seen + PRIOR * base) / (context + PRIOR)
+    del found, rows
+    score = _COUNT[levels[place]]
+    del place
+    c = counts[codes]
+    context = np.empty_like(c)
+    context[1:] = c[:-1]
+    context[begins] = counts[np.flatnonzero(names == _END)[0]]
+    # from here on each array is worked on where it is: (min(seen, c, context) + PRIOR * base) / (context + PRIOR)
+    np.minimum(score, c, out=score)
+    np.minimum(score, context, out=score)
+    context += PRIOR
+    known = np.add.reduceat(c > 0, begins).astype(np.int64)
+    base = c
+    base += 0.5
+    base /= total + 0.5 * (distinct + 1)
+    score += PRIOR * base
+    score /= context
+    del context
     return pa.table(
         {
             "doc_id": chunk.column("ids")[0].values,
             "train": chunk.column("train")[0].values,
             "n_tokens": pa.array(n, pa.int64()),
-            "n_known": pa.array(np.add.reduceat(c > 0, begins).astype(np.int64)),
+            "n_known": pa.array(known),
             "train_tokens": pa.array(np.full(len(n), total, np.int64)),
-            "base_score": np.add.reduceat(np.log10(base), begins),
-            "score": np.add.reduceat(np.log10(score), begins),
+            "base_score": np.add.reduceat(np.log10(base, out=base), begins),
+            "score": np.add.reduceat(np.log10(score, out=score), begins),
         }
     )
 
@@ -303,6 +352,13 @@ def _score(chunk: pa.Table, back: pa.Table, words: int, segments: int, total: in
 _SCORES = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+def _lean(group, *given) -> pa.Table:
+    """What group makes; the memory that it took is handed back before the worker waits."""
+    made = group(*given)
+    hand_back()
+    return made
+
+
 def score_texts(docs: DataFrame, train: Column) -> DataFrame:
     """Score docs (doc_id, text) with a model of the rows for which train holds (null: it does not).
 
@@ -333,14 +389,14 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
         return spark.createDataFrame([], _SCORES)
     words = max(8, -(-tokens // WORD_TOKENS))
     entries = chunks.select("chunk", "names", "counts").mapInArrow(lambda it: _entries(it, words), _ROWS)
-    known = materialize(entries.groupBy("segment").applyInArrow(_unigrams, _KNOWN))
+    known = materialize(entries.groupBy("segment").applyInArrow(lambda rows: _lean(_unigrams, rows), _KNOWN))
     total, distinct = known.agg(F.sum("total"), F.sum("distinct")).first()
     segments = max(8, -(-tokens // BIGRAM_TOKENS))
     counted = chunks.select("chunk", "train", "lengths", "codes", "names").mapInArrow(lambda it: _counted(it, segments), _ROWS)
-    found = counted.groupBy("segment").applyInArrow(_found, "chunk long, segment int, levels binary")
+    found = counted.groupBy("segment").applyInArrow(lambda rows: _lean(_found, rows), "chunk long, segment int, levels binary")
 
     def score(chunk: pa.Table, back: pa.Table) -> pa.Table:
-        return _score(chunk, back, words, segments, total, distinct)
+        return _lean(_score, chunk, back, words, segments, total, distinct)
 
     own = chunks.select("chunk", "ids", "train", "lengths", "codes", "names")
     none = F.lit(None).cast("binary")

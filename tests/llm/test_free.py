@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -255,6 +256,47 @@ def test_scores_do_not_depend_on_the_size_of_the_filter(spark, documents, monkey
     assert abs(np.mean(off)) < 0.01 and np.max(np.abs(off)) < 0.08
 
 
+def test_a_chunk_and_a_segment_take_little_memory():
+    """Each step over a chunk or segment, against its number of tokens: arrays that are done with go at once."""
+    rng = np.random.default_rng(12)
+    n, vocabulary = 1 << 20, 1 << 16
+    hashes = np.unique(rng.integers(0, 1 << 63, vocabulary, dtype=np.uint64))
+    names = np.append(hashes[:-1], ngram_filter._END)
+    lengths = np.full(n // 256, 256)
+    codes = rng.integers(0, len(names) - 1, n).astype(np.uint32)
+    codes[255::256] = len(names) - 1
+    train = rng.random(len(lengths)) < 0.8
+    columns = {"chunk": [7], "ids": [list(range(len(lengths)))], "train": [train.tolist()], "lengths": [lengths.tolist()]}
+    columns |= {"codes": [ngram_filter._planes(codes)], "names": [names.astype("<u8").tobytes()]}
+    chunk = pa.table(columns)
+
+    def peak(step):
+        tracemalloc.start()
+        made = step()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return made, most / n
+
+    rows, most = peak(lambda: list(ngram_filter._counted(iter(chunk.to_batches()), 1)))
+    assert most < 55
+    rows = pa.Table.from_batches(rows)
+    found, most = peak(lambda: ngram_filter._found(rows))
+    assert most < 55
+    counts = np.bincount(codes[np.repeat(train, 256)], minlength=len(names)).astype(np.uint64)
+    order, edges = ngram_filter._by_segment(names, 1)
+    back = {"pairs": [False, True], "segment": [0, 0], "low": [ngram_filter._planes(counts[order]), found.column("levels")[0].as_py()]}
+    back = pa.table(back | {"high": [ngram_filter._planes(np.zeros(len(names))), None]})
+    scored, most = peak(lambda: ngram_filter._score(chunk, back, 1, 1, int(counts.sum()), len(names)))
+    assert most < 70
+    # and they count right
+    pairs = ngram_filter._bigrams(names[codes], lengths)
+    distinct, place, _, starts = ngram_filter._grouped(pairs)
+    assert (distinct == np.unique(pairs)).all() and (distinct[place] == pairs).all()
+    assert (np.diff(starts, append=n) == np.unique(pairs, return_counts=True)[1]).all()
+    assert np.concatenate([ngram_filter._codes(x.as_py()) for x in rows.column("counts")]).sum() == 256 * train.sum()
+    assert scored.num_rows == len(lengths) and scored.column("n_tokens").to_pylist() == lengths.tolist()
+
+
 def test_no_texts_and_no_training(documents):
     docs = documents([(1, "a b"), (2, None)])
     assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in score_texts(docs, docs.doc_id < 0).collect()} == {(1, 3, 0, 0), (2, 1, 0, 0)}
