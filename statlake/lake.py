@@ -26,6 +26,7 @@ from statlake.functions.paths import check_path
 from statlake.operators import access
 from statlake.operators.catalog import COMMIT_FILE, DISCARD_FILE, META_FILE, list_prefix
 from statlake.operators.documents import meta_json
+from statlake.operators.layout import plain_scan
 from statlake.operators.pseudonymize import (
     column_names,
     depseudonymize,
@@ -53,6 +54,8 @@ _CLAIMS = T.StructType().add("path", "string").add("version", "long").add("attem
 CLAIM_LEASE_S = 24 * 3600.0
 # The same of the short step that makes a written version visible.
 COMMIT_LEASE_S = 600.0
+# Partitions of a scan for each output file from which on they are merged into it without a shuffle.
+MERGED = 2
 
 
 @dataclass(frozen=True)
@@ -409,10 +412,16 @@ class Lake:
         Adaptive execution picks the number from the data's size; the final ``coalesce`` only
         enforces the limit. Asking the DataFrame for its partition count instead would run its
         shuffles once for the question and once more for the write.
+
+        A limit of n files makes each of n tasks write a share of all rows, at any size. The partitions
+        of a plain scan, which are about even, are merged as they are read, unless they are few: in
+        its files a share is several times smaller than in a shuffle.
         """
         limit = limit or self.max_partitions
         if limit is None:
             return df.hint("rebalance")
+        if plain_scan(df) and df.rdd.getNumPartitions() >= MERGED * limit:
+            return df.coalesce(limit)
         start = min(limit, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         return df.hint("rebalance", start).coalesce(limit)
 

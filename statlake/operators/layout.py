@@ -12,3 +12,13 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if 2 * scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def plain_scan(df: DataFrame) -> bool:
+    """Whether the rows come straight from files, through filters and native projections at most: nothing
+    runs to count their partitions, and little work is lost if fewer tasks read them.
+    """
+    node = df._jdf.queryExecution().sparkPlan()
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    return node.getClass().getSimpleName() == "FileSourceScanExec"

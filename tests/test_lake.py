@@ -146,6 +146,33 @@ def test_output_files(lake, spark, governed):
     assert lake.read("/few").count() == lake.read("/same").count() == 100_000
 
 
+def test_a_limit_of_files_does_not_shuffle_a_plain_scan(lake, spark, governed, tmp_path):
+    source = str(tmp_path / "source")
+    spark.range(0, 100_000, 1, 20).withColumn("half", F.col("id") % 2).write.parquet(source)
+    scan = spark.read.parquet(source)
+
+    def shaped(df, limit=5):
+        plan = lake._shaped(df, limit)
+        return "Exchange" in plan._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.minPartitionNum", "20")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        assert scan.rdd.getNumPartitions() >= 10
+        # few partitions, or other work than a scan's, is spread by a shuffle as before
+        assert not shaped(scan) and not shaped(scan.filter("half = 1").select("id"))
+        assert shaped(scan, 1000) and shaped(scan.groupBy("half").count(), 1) and shaped(spark.range(0, 100, 1, 20))
+        assert shaped(scan.mapInArrow(lambda batches: batches, scan.schema), 1)
+        made = lake.write(scan, "/five", max_partitions=5, **governed)
+        sizes = [spark.read.parquet(file).count() for file in glob.glob(f"{made.folder}/*.parquet")]
+    finally:
+        for name in ("openCostInBytes", "minPartitionNum", "maxPartitionBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+    assert len(sizes) == 5 and max(sizes) <= 1.5 * 20_000
+    assert sorted(r["id"] for r in lake.read("/five").collect()) == list(range(100_000))
+
+
 def test_hidden_files_do_not_matter(lake, ships, governed):
     made = lake.write(ships, "/a/b", **governed)
     with open(f"{made.folder}/.dataset-meta.json", "w") as file:
